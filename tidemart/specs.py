@@ -228,4 +228,8 @@ CONTRACT_DDL = {
         "product_id string, total_quantity int, total_sales double, avg_price double, "
         "avg_review_score double",
 }
-CONTRACTS = {name: T.StructType.fromDDL(ddl) for name, ddl in CONTRACT_DDL.items()}
+
+
+def contract(name: str) -> T.StructType:
+    """Published schema of one table (needs a running session to parse)."""
+    return T.StructType.fromDDL(CONTRACT_DDL[name])
