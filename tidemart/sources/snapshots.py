@@ -1,0 +1,185 @@
+"""Layer tables as immutable Parquet loads plus a small list of the current ones.
+
+Plain Parquet has no MERGE. A write goes to a new folder and becomes visible when
+one small manifest file is added, so readers never see half a write and a failed or
+repeated job changes nothing. Keyed tables are split into hash buckets; an upsert
+rewrites only the buckets its keys fall into and refers to the others in place.
+"""
+
+from __future__ import annotations
+
+import json
+import re
+from collections.abc import Sequence
+from uuid import uuid4
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemart.operators.dedup import latest_per_key
+from tidemart.operators.upsert import any_null, merge_by_key
+from tidemart.sources.bronze import counted
+
+MANIFEST = "bucket int, load string, schema string"
+
+
+class SnapshotTable:
+    """One table. ``buckets`` and ``keys`` are fixed when the table is created."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = (),
+                 buckets: int = 1):
+        if buckets > 1 and not keys:
+            raise ValueError("a bucketed table needs keys")
+        self.spark, self.path = spark, path.rstrip("/")
+        self.keys, self.buckets = tuple(keys), buckets
+
+    # -- manifest ---------------------------------------------------------------
+
+    def version(self) -> int:
+        """Latest committed version, 0 when the table does not exist. Only file names
+        are listed; no job runs."""
+        try:
+            files = self.spark.read.schema(MANIFEST).json(f"{self.path}/manifest").inputFiles()
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return 0
+            raise
+        return max((int(re.search(r"version=(\d+)", f)[1]) for f in files), default=0)
+
+    def exists(self) -> bool:
+        return self.version() > 0
+
+    def _entries(self, version: int) -> list:
+        return (self.spark.read.schema(MANIFEST)
+                .json(f"{self.path}/manifest/version={version}").collect())
+
+    def _commit(self, version: int, loads: dict[int, str], schema: T.StructType) -> None:
+        """Add version ``version``; fails if another writer has added it already."""
+        text = schema.json()
+        rows = [(bucket, load, text) for bucket, load in sorted(loads.items())]
+        (self.spark.createDataFrame(rows, MANIFEST).coalesce(1)
+         .write.mode("error").json(f"{self.path}/manifest/version={version}"))
+
+    # -- data -------------------------------------------------------------------
+
+    def bucket_of(self, df: DataFrame) -> Column:
+        """Bucket of a row; rows without a full key are spread by all their values."""
+        names = [c for c in df.columns if c != "bucket"]
+        return F.pmod(F.when(any_null(self.keys), F.xxhash64(*names))
+                      .otherwise(F.xxhash64(*self.keys)), F.lit(self.buckets)).cast("int")
+
+    def _write(self, df: DataFrame) -> tuple[str, int]:
+        load = uuid4().hex
+        df, seen = counted(df, load)
+        target = f"{self.path}/data/load={load}"
+        if self.buckets == 1:
+            df.write.parquet(target)
+        else:
+            # rebalance groups rows by bucket but lets AQE split a large bucket into
+            # several files of the advisory size and merge small ones
+            (df.withColumn("bucket", self.bucket_of(df)).hint("rebalance", "bucket")
+             .write.partitionBy("bucket").parquet(target))
+        return load, seen.get["rows"]
+
+    def _read_entries(self, entries: list) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(entries[0]["schema"]))
+        loads = {e["load"] for e in entries}
+        root = f"{self.path}/data"
+        if self.buckets == 1:
+            paths = [f"{root}/load={load}" for load in loads]
+        else:
+            paths = [f"{root}/load={e['load']}/bucket={e['bucket']}" for e in entries]
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def read(self) -> DataFrame:
+        """Current rows. A column added by a later load reads NULL in older files."""
+        version = self.version()
+        if version == 0:
+            raise FileNotFoundError(f"no table at {self.path}")
+        return self._read_version(version)
+
+    def _read_version(self, version: int) -> DataFrame:
+        entries = self._entries(version)
+        return self._read_entries([e for e in entries if e["load"]] or entries)
+
+    def overwrite(self, df: DataFrame) -> int:
+        """Replace all rows and the schema. Returns the rows written."""
+        version = self.version()
+        load, rows = self._write(df)
+        written = range(self.buckets)
+        if self.buckets > 1:
+            written = self._buckets_in(load)
+        self._commit(version + 1, {b: load for b in written}, df.schema)
+        return rows
+
+    def _buckets_in(self, load: str) -> list[int]:
+        """Buckets a load holds, from its file names."""
+        files = self.spark.read.parquet(f"{self.path}/data/load={load}").inputFiles()
+        return sorted({int(re.search(r"bucket=(\d+)", f)[1]) for f in files})
+
+    def upsert(self, source: DataFrame, version_col: str | None = None) -> int:
+        """Insert new keys and replace known ones. A missing table is created. With
+        ``version_col`` a row older than the stored one is ignored. Returns the rows
+        of the source after removing duplicate keys.
+
+        Running the same source twice gives the same table, so an at-least-once
+        caller is safe.
+        """
+        source = latest_per_key(source, self.keys, version_col)
+        version = self.version()
+        if version == 0:
+            return self.overwrite(source)
+        entries = self._entries(version)
+        source = source.persist()
+        try:
+            if self.buckets == 1:
+                touched = {0} if source.limit(1).count() else set()
+            else:
+                touched = {r["b"] for r in
+                           source.select(self.bucket_of(source).alias("b")).distinct().collect()}
+            if not touched:
+                return 0
+            hit = [e for e in entries if e["bucket"] in touched]
+            old = self._read_entries(hit or entries[:1])
+            if not hit:
+                old = old.limit(0)
+            merged = merge_by_key(old, source, self.keys, version_col)
+            load, _ = self._write(merged)
+            loads = {e["bucket"]: e["load"] for e in entries} | {b: load for b in touched}
+            self._commit(version + 1, loads, merged.schema)
+            return source.count()
+        finally:
+            source.unpersist()
+
+
+def register(spark: SparkSession, name: str, table: SnapshotTable) -> None:
+    """Make the current rows of a table available to SQL under ``name``; calling it
+    again after a write moves the name to the new version."""
+    table.read().createOrReplaceTempView(name)
+
+
+def register_location(spark: SparkSession, name: str, location: str) -> None:
+    """Catalog entry for a Parquet folder; an entry for another folder is replaced."""
+    escaped = location.replace("'", "\\'")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING PARQUET LOCATION '{escaped}'")
+
+
+def missing_tables(spark: SparkSession, names: Sequence[str], database: str) -> DataFrame:
+    """Names from a contract list that the catalog does not have."""
+    have = [(t.name,) for t in spark.catalog.listTables(database)]
+    want = spark.createDataFrame([(n,) for n in names], "table_name string")
+    return want.join(spark.createDataFrame(have, "table_name string"), "table_name", "left_anti")
+
+
+def read_first(*tables: SnapshotTable | DataFrame | None) -> DataFrame:
+    """First table that exists, in order of preference (curated, then raw)."""
+    for table in tables:
+        if isinstance(table, DataFrame):
+            return table
+        if table is not None and table.exists():
+            return table.read()
+    raise FileNotFoundError("none of the tables exists")
