@@ -4,56 +4,59 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HotKeys = list[tuple[int, int]]
+# (slot, pieces): keys are hashed into SLOTS slots; a hot slot is cut into pieces.
+HotSlots = list[tuple[int, int]]
+SLOTS = 65536
 
-# A key above this share of the rows is spread over several tasks. The share also
-# bounds the result: at most 1 / HOT_SHARE keys can reach it.
+# A slot is hot above this share of the rows, so at most 1 / HOT_SHARE slots are. An
+# ordinary slot holds about 1 / SLOTS of the rows, far below it.
 HOT_SHARE = 0.002
+# Fewer rows than this in one task are never worth splitting.
+MIN_PIECE = 100_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> HotKeys:
-    """``(key hash, number of pieces)`` for each key with more than ``share`` of ``df``.
+def slot_of(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(SLOTS)).cast("int")
 
-    One scan of the key columns into a heavy-hitter sketch that is merged map-side:
-    no shuffle of the keys and at most ``1 / share`` rows for the driver. The sketch
-    is only used to choose the plan; the join result does not depend on it.
+
+def hot_slots(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE,
+              min_piece: int = MIN_PIECE) -> HotSlots:
+    """Slots that hold more rows than one task should get, with the pieces they need.
+
+    One scan of the key columns and a count per slot: a fixed-size hash aggregate whose
+    partial results, not the rows or keys, are shuffled. The driver receives at most
+    ``1 / share`` rows. NULL keys count too, since a left join keeps them.
     """
-    limit = int(1 / share)
-    found = df.select(F.xxhash64(*keys).alias("key_hash")).agg(
-        F.expr(f"approx_top_k(key_hash, {limit}, {limit * 20})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
-    ).first()
-    piece = max(1.0, share * found["n"])
-    return [(t["item"], int(t["count"] / piece) + 1)
-            for t in (found["top"] or []) if t["count"] > piece]
+    counts = df.groupBy(slot_of(keys).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    piece = F.greatest(F.sum("n").over(Window.partitionBy()) * share, F.lit(float(min_piece)))
+    hot = counts.withColumn("pieces", F.ceil(F.col("n") / piece).cast("int")).where("pieces > 1")
+    return [(r["slot"], r["pieces"]) for r in hot.collect()]
 
 
 def skew_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
-                   hot: HotKeys | None = None) -> DataFrame:
+                   hot: HotSlots | None = None) -> DataFrame:
     """Join ``left`` (many rows per key) to ``right`` (few rows per key).
 
-    Rows of a hot key are spread over its pieces by a hash of the whole left row and
-    the matching right rows are copied once per piece, so the result is the same as
-    the plain join. The piece is a function of the row, not of a random draw, so a
-    retried task puts every row where the first attempt did.
+    Left rows of a hot slot are spread over its pieces by a hash of the whole row, and
+    the right rows of that slot are copied once per piece, so the result is the same as
+    that of the plain join. The piece is a function of the row, not a random draw, so a
+    retried task puts every row where the first attempt did. The slot table that is
+    broadcast has at most ``1 / share`` rows.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"only inner and left joins can be split, not {how}")
     if not hot:
         return left.join(right, list(on), how)
-    pieces = F.broadcast(left.sparkSession.createDataFrame(
-        hot, "_key_hash bigint, _pieces int"))
+    table = F.broadcast(left.sparkSession.createDataFrame(hot, "_slot int, _pieces int"))
 
     def tagged(df: DataFrame) -> DataFrame:
-        return df.withColumn("_key_hash", F.xxhash64(*on)).join(pieces, "_key_hash", "left")
-
-    split_left = tagged(left).withColumn(
-        "_piece", F.coalesce(F.pmod(F.xxhash64(*left.columns), F.col("_pieces")).cast("int"),
-                             F.lit(0))).drop("_key_hash", "_pieces")
-    split_right = tagged(right).withColumn(
-        "_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))
-    ).drop("_key_hash", "_pieces")
+        return df.withColumn("_slot", slot_of(on)).join(table, "_slot", "left")
+
+    piece = F.coalesce(F.pmod(F.xxhash64(*left.columns), F.col("_pieces")).cast("int"), F.lit(0))
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))
+    split_left = tagged(left).withColumn("_piece", piece).drop("_slot", "_pieces")
+    split_right = tagged(right).withColumn("_piece", copies).drop("_slot", "_pieces")
     return split_left.join(split_right, [*on, "_piece"], how).drop("_piece")

@@ -32,19 +32,23 @@ def drop_stale(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def merge_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                 version: str | None = None) -> DataFrame:
+                 version: str | None = None, match_keys: DataFrame | None = None) -> DataFrame:
     """Target after the upsert; ``source`` holds at most one row per key.
 
     Keys are ANDed and compared with ``=``, so a NULL key never matches: such target
     rows skip the join (they would all hash to one task) and such source rows are
     inserted. The source is the right side, so a small feed is broadcast by Spark's
     own size check and the target is then not shuffled at all. Columns new in the
-    source are added; older rows read NULL there.
+    source are added; older rows read NULL there. ``match_keys`` may give the source
+    keys from before its dedup, which saves repeating that for a narrow key scan.
     """
     source = align_types(source, target)
     if version:
         source = drop_stale(target, source, keys, version)
+    if version or match_keys is None:
+        match_keys = source.select(*keys)
+    match_keys = align_types(match_keys.select(*keys).distinct(), target)
     no_key = any_null(keys)
-    kept = (target.where(~no_key).join(source.select(*keys), list(keys), "left_anti")
+    kept = (target.where(~no_key).join(match_keys, list(keys), "left_anti")
             .unionByName(target.where(no_key)))
     return kept.unionByName(source, allowMissingColumns=True)

@@ -1,0 +1,166 @@
+"""The stages that store each layer: raw batches, curated tables, star schema."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemart.operators.clean import clean
+from tidemart.operators.skew import hot_slots
+from tidemart.plans import gold
+from tidemart.sources.bronze import has_batch, read_batch, write_batch
+from tidemart.sources.csv import batch_path, scan_csv, with_audit
+from tidemart.sources.ledger import Ledger
+from tidemart.sources.publish import publish, published
+from tidemart.sources.snapshots import SnapshotTable, read_first
+from tidemart.specs import (
+    CONTRACT_DDL, REFERENCE_SPECS, TRANSACTIONAL_SPECS, TableSpec, contract,
+)
+
+BATCHES = ("1", "2", "3", "4")
+
+
+@dataclass
+class Lake:
+    """Where the layers live and which specs they follow.
+
+    ``buckets`` splits each growing curated table; choose it so that a bucket is a few
+    GB, since an upsert rewrites whole buckets.
+    """
+
+    spark: SparkSession
+    root: str
+    reference: Mapping[str, TableSpec] = field(default_factory=lambda: REFERENCE_SPECS)
+    transactional: Mapping[str, TableSpec] = field(default_factory=lambda: TRANSACTIONAL_SPECS)
+    buckets: int = 64
+
+    def bronze_path(self, name: str) -> str:
+        return f"{self.root}/bronze/{name}"
+
+    def bronze_table(self, name: str) -> SnapshotTable:
+        """Raw reference table: one load, always replaced."""
+        return SnapshotTable(self.spark, self.bronze_path(name))
+
+    def silver(self, name: str) -> SnapshotTable:
+        spec = self.transactional.get(name)
+        if spec:
+            return SnapshotTable(self.spark, f"{self.root}/silver/{name}", spec.merge_keys,
+                                 self.buckets)
+        return SnapshotTable(self.spark, f"{self.root}/silver/{name}")
+
+    def gold(self, name: str) -> SnapshotTable:
+        return SnapshotTable(self.spark, f"{self.root}/gold/{name}")
+
+    def export_path(self, name: str) -> str:
+        return f"{self.root}/warehouse/{name}"
+
+    @property
+    def ledger(self) -> Ledger:
+        return Ledger(self.spark, f"{self.root}/ledger")
+
+
+@dataclass
+class StageResult:
+    """Rows written per table and the tables that failed, with the error."""
+
+    rows: dict[str, int] = field(default_factory=dict)
+    errors: dict[str, Exception] = field(default_factory=dict)
+    skipped: bool = False
+
+
+def _check(batch: str) -> str:
+    if str(batch) not in BATCHES:
+        raise ValueError(f"unknown batch {batch!r}: expected one of {', '.join(BATCHES)}")
+    return str(batch)
+
+
+def run_bronze(lake: Lake, raw: str, batch: str) -> StageResult:
+    """Load one batch folder. Batch 1 also loads the reference tables.
+
+    A batch the ledger knows is skipped. A failing table does not stop the others, but
+    the batch is entered in the ledger only when all tables succeeded; the retry then
+    replaces the partitions already written instead of adding to them.
+    """
+    batch = _check(batch)
+    result = StageResult()
+    if lake.ledger.is_done(batch, "bronze"):
+        result.skipped = True
+        return result
+
+    def load(spec: TableSpec) -> DataFrame:
+        return with_audit(scan_csv(lake.spark, batch_path(raw, batch, spec), spec),
+                          f"batch_{batch}", source_file=spec.source_file)
+
+    tables = {**(lake.reference if batch == "1" else {}), **lake.transactional}
+    for name, spec in tables.items():
+        try:
+            if name in lake.reference:
+                result.rows[name] = lake.bronze_table(name).overwrite(load(spec))
+            else:
+                result.rows[name] = write_batch(load(spec), lake.bronze_path(name))
+        except Exception as e:  # noqa: BLE001 - collected and reported per table
+            result.errors[name] = e
+    if not result.errors:
+        lake.ledger.mark_done(batch, "bronze", sum(result.rows.values()))
+    return result
+
+
+def run_silver(lake: Lake, batch: str) -> StageResult:
+    """Clean one batch. Batch 1 replaces every curated table; later batches are upserted
+    into the transactional tables, reading only their own partition."""
+    batch = _check(batch)
+    result = StageResult()
+    if batch == "1":
+        for name, spec in lake.reference.items():
+            lookup = None
+            if spec.lookup:
+                lookup = read_first(lake.silver(spec.lookup.table),
+                                    lake.bronze_table(spec.lookup.table))
+            result.rows[name] = lake.silver(name).overwrite(
+                clean(lake.bronze_table(name).read(), spec, lookup))
+    for name, spec in lake.transactional.items():
+        path, batch_id = lake.bronze_path(name), f"batch_{batch}"
+        if not has_batch(lake.spark, path, batch_id):
+            continue
+        rows = clean(read_batch(lake.spark, path, batch_id), spec)
+        table = lake.silver(name)
+        result.rows[name] = table.overwrite(rows) if batch == "1" else table.upsert(rows)
+    return result
+
+
+def build_gold(lake: Lake, names: tuple[str, ...] = tuple(CONTRACT_DDL)) -> StageResult:
+    """Rebuild the star schema. The aggregates read the stored fact, so it is computed
+    once."""
+    result = StageResult()
+    read = lambda n: lake.silver(n).read()
+
+    def fact() -> DataFrame:
+        items = read("order_items")
+        return gold.fact_order_items(read("orders"), items, read("order_payments"),
+                                     read("order_reviews"), hot_slots(items, ["order_id"]))
+
+    stored_fact = lambda: lake.gold("fact_order_items").read()
+    builders = {
+        "dim_customers": lambda: read("customers"),
+        "dim_sellers": lambda: gold.dim_sellers(read("sellers"), read("geolocation")),
+        "dim_products": lambda: read("products"),
+        "dim_geolocation": lambda: read("geolocation"),
+        "fact_order_items": fact,
+        "order_summary": lambda: gold.order_summary(stored_fact()),
+        "customer_metrics": lambda: gold.customer_metrics(stored_fact()),
+        "seller_performance": lambda: gold.seller_performance(stored_fact()),
+        "product_performance": lambda: gold.product_performance(stored_fact()),
+    }
+    for name in names:
+        result.rows[name] = lake.gold(name).overwrite(builders[name]())
+    return result
+
+
+def export_warehouse(lake: Lake) -> dict[str, DataFrame]:
+    """Load every star-schema table into its typed contract, bad rows set aside."""
+    for name in CONTRACT_DDL:
+        publish(lake.gold(name).read(), contract(name), lake.export_path(name))
+    return {name: published(lake.spark, lake.export_path(name), contract(name))
+            for name in CONTRACT_DDL}

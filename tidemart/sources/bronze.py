@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.sources.paths import exists
+
 LIVE_BATCH = "live_stream"
 
 
@@ -25,8 +27,12 @@ def write_batch(df: DataFrame, path: str) -> int:
 
 def read_batch(spark: SparkSession, path: str, batch_id: str,
                load_id: str | None = None) -> DataFrame:
-    """Rows of one batch; the filter prunes partitions, other batches are not listed
-    for reading. Files of earlier batches may lack newer columns."""
-    df = (spark.read.option("mergeSchema", True).parquet(path)
-          .where(F.col("batch_id") == batch_id))
-    return df if load_id is None else df.where(F.col("load_id") == load_id)
+    """Rows of one batch. Only its partition folder is listed and read, and the columns
+    are those of its own files, so a column new in this batch is seen without merging
+    the footers of the whole table."""
+    folder = f"{path}/batch_id={batch_id}" + (f"/load_id={load_id}" if load_id else "")
+    return spark.read.option("basePath", path).parquet(folder)
+
+
+def has_batch(spark: SparkSession, path: str, batch_id: str) -> bool:
+    return exists(spark, f"{path}/batch_id={batch_id}")

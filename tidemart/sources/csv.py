@@ -38,14 +38,18 @@ def live_glob(live: str, spec: TableSpec) -> str:
 
 def with_audit(df: DataFrame, batch_id: str, load_id: str = "0",
                source_file: str | None = None) -> DataFrame:
-    """Tag rows with when, from where and in which batch they came."""
-    origin = F.lit(source_file) if source_file else F.col("_metadata.file_name")
-    return df.withColumns({
-        "source_file": origin,
+    """Tag rows with when, from where and in which batch they came. A stream has
+    already noted the source file; for a batch it is given or read from the scan."""
+    tags = {
         "ingestion_timestamp": F.current_timestamp(),
         "batch_id": F.lit(batch_id),
         "load_id": F.lit(load_id),
-    })
+    }
+    if source_file:
+        tags["source_file"] = F.lit(source_file)
+    elif "source_file" not in df.columns:
+        tags["source_file"] = F.col("_metadata.file_name")
+    return df.withColumns(tags)
 
 
 def enforce_types(df: DataFrame, spec: TableSpec) -> DataFrame:

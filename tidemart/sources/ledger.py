@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.sources.paths import exists
+
 FIELDS = "status string, rows bigint, completed_at string, batch string, stage string"
 DONE, RESET = "completed", "reset"
 
@@ -17,12 +18,9 @@ class Ledger:
         self.spark, self.path = spark, path
 
     def entries(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(FIELDS).json(self.path)
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return self.spark.createDataFrame([], FIELDS)
-            raise
+        if not exists(self.spark, self.path):
+            return self.spark.createDataFrame([], FIELDS)
+        return self.spark.read.schema(FIELDS).json(self.path)
 
     def status(self) -> DataFrame:
         """All entries in order, for a health check."""

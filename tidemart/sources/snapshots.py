@@ -13,7 +13,6 @@ import re
 from collections.abc import Sequence
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,8 +20,10 @@ from pyspark.sql import types as T
 from tidemart.operators.dedup import latest_per_key
 from tidemart.operators.upsert import any_null, merge_by_key
 from tidemart.sources.bronze import counted
+from tidemart.sources.paths import matching
 
 MANIFEST = "bucket int, load string, schema string"
+NO_KEY = -1
 
 
 class SnapshotTable:
@@ -38,14 +39,8 @@ class SnapshotTable:
     # -- manifest ---------------------------------------------------------------
 
     def version(self) -> int:
-        """Latest committed version, 0 when the table does not exist. Only file names
-        are listed; no job runs."""
-        try:
-            files = self.spark.read.schema(MANIFEST).json(f"{self.path}/manifest").inputFiles()
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return 0
-            raise
+        """Latest committed version, 0 when the table does not exist."""
+        files = matching(self.spark, f"{self.path}/manifest/version=*/part-*.json")
         return max((int(re.search(r"version=(\d+)", f)[1]) for f in files), default=0)
 
     def exists(self) -> bool:
@@ -55,20 +50,20 @@ class SnapshotTable:
         return (self.spark.read.schema(MANIFEST)
                 .json(f"{self.path}/manifest/version={version}").collect())
 
-    def _commit(self, version: int, loads: dict[int, str], schema: T.StructType) -> None:
+    def _commit(self, version: int, loads: list[tuple[int, str]], schema: T.StructType) -> None:
         """Add version ``version``; fails if another writer has added it already."""
         text = schema.json()
-        rows = [(bucket, load, text) for bucket, load in sorted(loads.items())]
+        rows = [(bucket, load, text) for bucket, load in sorted(loads)]
         (self.spark.createDataFrame(rows, MANIFEST).coalesce(1)
          .write.mode("error").json(f"{self.path}/manifest/version={version}"))
 
     # -- data -------------------------------------------------------------------
 
     def bucket_of(self, df: DataFrame) -> Column:
-        """Bucket of a row; rows without a full key are spread by all their values."""
-        names = [c for c in df.columns if c != "bucket"]
-        return F.pmod(F.when(any_null(self.keys), F.xxhash64(*names))
-                      .otherwise(F.xxhash64(*self.keys)), F.lit(self.buckets)).cast("int")
+        """Bucket of a row. Rows without a full key never match a later row, so they
+        have a bucket of their own that is only ever added to."""
+        hashed = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        return F.when(any_null(self.keys), F.lit(NO_KEY)).otherwise(hashed)
 
     def _write(self, df: DataFrame) -> tuple[str, int]:
         load = uuid4().hex
@@ -85,12 +80,14 @@ class SnapshotTable:
 
     def _read_entries(self, entries: list) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(entries[0]["schema"]))
-        loads = {e["load"] for e in entries}
+        stored = [e for e in entries if e["load"]]
+        if not stored:
+            return self.spark.createDataFrame([], schema)
         root = f"{self.path}/data"
         if self.buckets == 1:
-            paths = [f"{root}/load={load}" for load in loads]
+            paths = [f"{root}/load={e['load']}" for e in stored]
         else:
-            paths = [f"{root}/load={e['load']}/bucket={e['bucket']}" for e in entries]
+            paths = [f"{root}/load={e['load']}/bucket={e['bucket']}" for e in stored]
         return self.spark.read.schema(schema).parquet(*paths)
 
     def read(self) -> DataFrame:
@@ -98,60 +95,59 @@ class SnapshotTable:
         version = self.version()
         if version == 0:
             raise FileNotFoundError(f"no table at {self.path}")
-        return self._read_version(version)
-
-    def _read_version(self, version: int) -> DataFrame:
-        entries = self._entries(version)
-        return self._read_entries([e for e in entries if e["load"]] or entries)
+        return self._read_entries(self._entries(version))
 
     def overwrite(self, df: DataFrame) -> int:
         """Replace all rows and the schema. Returns the rows written."""
         version = self.version()
         load, rows = self._write(df)
-        written = range(self.buckets)
+        written = [(0, load)]
         if self.buckets > 1:
-            written = self._buckets_in(load)
-        self._commit(version + 1, {b: load for b in written}, df.schema)
+            written = [(b, load) for b in self._buckets_in(load)] or [(0, "")]
+        self._commit(version + 1, written, df.schema)
         return rows
 
     def _buckets_in(self, load: str) -> list[int]:
-        """Buckets a load holds, from its file names."""
-        files = self.spark.read.parquet(f"{self.path}/data/load={load}").inputFiles()
-        return sorted({int(re.search(r"bucket=(\d+)", f)[1]) for f in files})
+        """Buckets a load holds, from its folder names."""
+        folders = matching(self.spark, f"{self.path}/data/load={load}/bucket=*")
+        return sorted(int(re.search(r"bucket=(-?\d+)", f)[1]) for f in folders)
 
     def upsert(self, source: DataFrame, version_col: str | None = None) -> int:
         """Insert new keys and replace known ones. A missing table is created. With
         ``version_col`` a row older than the stored one is ignored. Returns the rows
-        of the source after removing duplicate keys.
+        written, which are those of the touched buckets.
 
-        Running the same source twice gives the same table, so an at-least-once
-        caller is safe.
+        The source is read several times (for its buckets, its keys and its rows), so
+        it should be a stored table rather than a long computation. Running the same
+        source twice gives the same keyed rows, so an at-least-once caller is safe; rows
+        without a key are inserted each time, as in a SQL MERGE.
         """
-        source = latest_per_key(source, self.keys, version_col)
+        latest = latest_per_key(source, self.keys, version_col)
         version = self.version()
         if version == 0:
-            return self.overwrite(source)
+            return self.overwrite(latest)
         entries = self._entries(version)
-        source = source.persist()
-        try:
-            if self.buckets == 1:
-                touched = {0} if source.limit(1).count() else set()
-            else:
-                touched = {r["b"] for r in
-                           source.select(self.bucket_of(source).alias("b")).distinct().collect()}
-            if not touched:
-                return 0
-            hit = [e for e in entries if e["bucket"] in touched]
-            old = self._read_entries(hit or entries[:1])
-            if not hit:
-                old = old.limit(0)
-            merged = merge_by_key(old, source, self.keys, version_col)
-            load, _ = self._write(merged)
-            loads = {e["bucket"]: e["load"] for e in entries} | {b: load for b in touched}
-            self._commit(version + 1, loads, merged.schema)
-            return source.count()
-        finally:
-            source.unpersist()
+        touched = self._touched(source)
+        if not touched:
+            return 0
+        rewritten = touched - {NO_KEY}
+        hit = [e for e in entries if e["bucket"] in rewritten and e["load"]]
+        old = self._read_entries(hit or [entries[0].asDict() | {"load": ""}])
+        merged = merge_by_key(old, latest, self.keys, version_col, source.select(*self.keys))
+        load, rows = self._write(merged)
+        loads = [(e["bucket"], e["load"]) for e in entries
+                 if e["load"] and e["bucket"] not in rewritten]
+        loads += [(b, load) for b in touched]
+        self._commit(version + 1, loads, merged.schema)
+        return rows
+
+    def _touched(self, source: DataFrame) -> set[int]:
+        """Buckets the source falls into: at most ``buckets`` small integers."""
+        if self.buckets == 1:
+            return set() if source.isEmpty() else {0}
+        source = source.select(*self.keys)
+        buckets = source.select(self.bucket_of(source).alias("b")).distinct()
+        return {r["b"] for r in buckets.collect()}
 
 
 def register(spark: SparkSession, name: str, table: SnapshotTable) -> None:
