@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,6 +72,25 @@ class StageResult:
     skipped: bool = False
 
 
+def side_by_side(jobs: Mapping[str, Callable[[], int]], result: StageResult,
+                 workers: int = 4) -> None:
+    """Submit the writes of independent tables together, so that a small table does not
+    leave the cluster idle. Each thread only submits; Spark shares out the tasks."""
+    with ThreadPoolExecutor(workers) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+    for name, job in running.items():
+        if job.exception() is None:
+            result.rows[name] = job.result()
+        else:
+            result.errors[name] = job.exception()
+
+
+def raise_first(result: StageResult) -> StageResult:
+    for error in result.errors.values():
+        raise error
+    return result
+
+
 def _check(batch: str) -> str:
     if str(batch) not in BATCHES:
         raise ValueError(f"unknown batch {batch!r}: expected one of {', '.join(BATCHES)}")
@@ -89,19 +110,15 @@ def run_bronze(lake: Lake, raw: str, batch: str) -> StageResult:
         result.skipped = True
         return result
 
-    def load(spec: TableSpec) -> DataFrame:
-        return with_audit(scan_csv(lake.spark, batch_path(raw, batch, spec), spec),
+    def load(name: str, spec: TableSpec) -> int:
+        rows = with_audit(scan_csv(lake.spark, batch_path(raw, batch, spec), spec),
                           f"batch_{batch}", source_file=spec.source_file)
+        if name in lake.reference:
+            return lake.bronze_table(name).overwrite(rows)
+        return write_batch(rows, lake.bronze_path(name))
 
     tables = {**(lake.reference if batch == "1" else {}), **lake.transactional}
-    for name, spec in tables.items():
-        try:
-            if name in lake.reference:
-                result.rows[name] = lake.bronze_table(name).overwrite(load(spec))
-            else:
-                result.rows[name] = write_batch(load(spec), lake.bronze_path(name))
-        except Exception as e:  # noqa: BLE001 - collected and reported per table
-            result.errors[name] = e
+    side_by_side({n: partial(load, n, s) for n, s in tables.items()}, result)
     if not result.errors:
         lake.ledger.mark_done(batch, "bronze", sum(result.rows.values()))
     return result
@@ -111,23 +128,31 @@ def run_silver(lake: Lake, batch: str) -> StageResult:
     """Clean one batch. Batch 1 replaces every curated table; later batches are upserted
     into the transactional tables, reading only their own partition."""
     batch = _check(batch)
-    result = StageResult()
+    result, batch_id = StageResult(), f"batch_{batch}"
+
+    def reference(name: str, spec: TableSpec) -> int:
+        lookup = None
+        if spec.lookup:
+            lookup = read_first(lake.silver(spec.lookup.table),
+                                lake.bronze_table(spec.lookup.table))
+        return lake.silver(name).overwrite(clean(lake.bronze_table(name).read(), spec, lookup))
+
+    def transactional(name: str, spec: TableSpec) -> int:
+        rows = clean(read_batch(lake.spark, lake.bronze_path(name), batch_id), spec)
+        unique = spec.unique_keys == spec.merge_keys
+        if batch == "1":
+            return lake.silver(name).overwrite(rows, by_key=unique)
+        return lake.silver(name).upsert(rows, unique=unique)
+
+    first = {n: partial(transactional, n, s) for n, s in lake.transactional.items()
+             if has_batch(lake.spark, lake.bronze_path(n), batch_id)}
+    then = {}
     if batch == "1":
         for name, spec in lake.reference.items():
-            lookup = None
-            if spec.lookup:
-                lookup = read_first(lake.silver(spec.lookup.table),
-                                    lake.bronze_table(spec.lookup.table))
-            result.rows[name] = lake.silver(name).overwrite(
-                clean(lake.bronze_table(name).read(), spec, lookup))
-    for name, spec in lake.transactional.items():
-        path, batch_id = lake.bronze_path(name), f"batch_{batch}"
-        if not has_batch(lake.spark, path, batch_id):
-            continue
-        rows = clean(read_batch(lake.spark, path, batch_id), spec)
-        table = lake.silver(name)
-        result.rows[name] = table.overwrite(rows) if batch == "1" else table.upsert(rows)
-    return result
+            (then if spec.lookup else first)[name] = partial(reference, name, spec)
+    side_by_side(first, result)
+    side_by_side(then, result)
+    return raise_first(result)
 
 
 def build_gold(lake: Lake, names: tuple[str, ...] = tuple(CONTRACT_DDL)) -> StageResult:
@@ -153,14 +178,21 @@ def build_gold(lake: Lake, names: tuple[str, ...] = tuple(CONTRACT_DDL)) -> Stag
         "seller_performance": lambda: gold.seller_performance(stored_fact()),
         "product_performance": lambda: gold.product_performance(stored_fact()),
     }
-    for name in names:
-        result.rows[name] = lake.gold(name).overwrite(builders[name]())
+    from_fact = ("order_summary", "customer_metrics", "seller_performance",
+                 "product_performance")
+    for stage in ([n for n in names if n not in from_fact], [n for n in names if n in from_fact]):
+        side_by_side({n: partial(lambda n: lake.gold(n).overwrite(builders[n]()), n)
+                      for n in stage}, result)
+        raise_first(result)
     return result
 
 
 def export_warehouse(lake: Lake) -> dict[str, DataFrame]:
     """Load every star-schema table into its typed contract, bad rows set aside."""
-    for name in CONTRACT_DDL:
-        publish(lake.gold(name).read(), contract(name), lake.export_path(name))
+    loaded = StageResult()
+    side_by_side({n: partial(lambda n: publish(lake.gold(n).read(), contract(n),
+                                               lake.export_path(n)), n)
+                  for n in CONTRACT_DDL}, loaded)
+    raise_first(loaded)
     return {name: published(lake.spark, lake.export_path(name), contract(name))
             for name in CONTRACT_DDL}

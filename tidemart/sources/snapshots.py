@@ -60,22 +60,27 @@ class SnapshotTable:
     # -- data -------------------------------------------------------------------
 
     def bucket_of(self, df: DataFrame) -> Column:
-        """Bucket of a row. Rows without a full key never match a later row, so they
-        have a bucket of their own that is only ever added to."""
-        hashed = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        """Bucket of a row: the hash by which Spark itself shuffles on the keys, so rows
+        shuffled by key reach the writer with few buckets per task. Rows without a full
+        key never match a later row; they have a bucket that is only ever added to."""
+        hashed = F.pmod(F.hash(*self.keys), F.lit(self.buckets)).cast("int")
         return F.when(any_null(self.keys), F.lit(NO_KEY)).otherwise(hashed)
 
-    def _write(self, df: DataFrame) -> tuple[str, int]:
+    def _write(self, df: DataFrame, by_key: bool) -> tuple[str, int]:
+        """Write one load. Rows that come from a dedup or join on the keys
+        (``by_key``) need no further shuffle: with P shuffle partitions there are at
+        most lcm(P, buckets) files, P if the buckets divide P. Otherwise rows are
+        grouped by bucket first; AQE then splits a large bucket into several files."""
         load = uuid4().hex
         df, seen = counted(df, load)
         target = f"{self.path}/data/load={load}"
         if self.buckets == 1:
             df.write.parquet(target)
         else:
-            # rebalance groups rows by bucket but lets AQE split a large bucket into
-            # several files of the advisory size and merge small ones
-            (df.withColumn("bucket", self.bucket_of(df)).hint("rebalance", "bucket")
-             .write.partitionBy("bucket").parquet(target))
+            df = df.withColumn("bucket", self.bucket_of(df))
+            if not by_key:
+                df = df.hint("rebalance", "bucket")
+            df.write.partitionBy("bucket").parquet(target)
         return load, seen.get["rows"]
 
     def _read_entries(self, entries: list) -> DataFrame:
@@ -97,10 +102,11 @@ class SnapshotTable:
             raise FileNotFoundError(f"no table at {self.path}")
         return self._read_entries(self._entries(version))
 
-    def overwrite(self, df: DataFrame) -> int:
-        """Replace all rows and the schema. Returns the rows written."""
+    def overwrite(self, df: DataFrame, by_key: bool = False) -> int:
+        """Replace all rows and the schema. Returns the rows written. ``by_key`` tells
+        that ``df`` ends in a shuffle on the keys, such as a dedup."""
         version = self.version()
-        load, rows = self._write(df)
+        load, rows = self._write(df, by_key)
         written = [(0, load)]
         if self.buckets > 1:
             written = [(b, load) for b in self._buckets_in(load)] or [(0, "")]
@@ -112,20 +118,22 @@ class SnapshotTable:
         folders = matching(self.spark, f"{self.path}/data/load={load}/bucket=*")
         return sorted(int(re.search(r"bucket=(-?\d+)", f)[1]) for f in folders)
 
-    def upsert(self, source: DataFrame, version_col: str | None = None) -> int:
+    def upsert(self, source: DataFrame, version_col: str | None = None,
+               unique: bool = False) -> int:
         """Insert new keys and replace known ones. A missing table is created. With
-        ``version_col`` a row older than the stored one is ignored. Returns the rows
-        written, which are those of the touched buckets.
+        ``version_col`` a row older than the stored one is ignored. ``unique`` promises
+        one source row per key and saves the dedup. Returns the rows written, which are
+        those of the touched buckets.
 
         The source is read several times (for its buckets, its keys and its rows), so
         it should be a stored table rather than a long computation. Running the same
         source twice gives the same keyed rows, so an at-least-once caller is safe; rows
         without a key are inserted each time, as in a SQL MERGE.
         """
-        latest = latest_per_key(source, self.keys, version_col)
+        latest = source if unique else latest_per_key(source, self.keys, version_col)
         version = self.version()
         if version == 0:
-            return self.overwrite(latest)
+            return self.overwrite(latest, by_key=True)
         entries = self._entries(version)
         touched = self._touched(source)
         if not touched:
@@ -134,7 +142,7 @@ class SnapshotTable:
         hit = [e for e in entries if e["bucket"] in rewritten and e["load"]]
         old = self._read_entries(hit or [entries[0].asDict() | {"load": ""}])
         merged = merge_by_key(old, latest, self.keys, version_col, source.select(*self.keys))
-        load, rows = self._write(merged)
+        load, rows = self._write(merged, by_key=True)
         loads = [(e["bucket"], e["load"]) for e in entries
                  if e["load"] and e["bucket"] not in rewritten]
         loads += [(b, load) for b in touched]

@@ -39,15 +39,16 @@ def load_name(checkpoint: str, batch: int) -> str:
     return f"{hashlib.md5(checkpoint.encode()).hexdigest()[:12]}_{batch:09d}"
 
 
-def ingest_step(lake: Lake, spec: TableSpec, checkpoint: str,
-                merge: bool = True) -> Callable[[DataFrame, int], None]:
+def ingest_step(lake: Lake, spec: TableSpec, checkpoint: str, merge: bool = True,
+                on_rows: Callable[[int], None] = lambda n: None
+                ) -> Callable[[DataFrame, int], None]:
     """Work on one micro-batch. Each step may run again after a failure: the raw
     partition is replaced and the upsert of the same rows changes nothing."""
     path = lake.bronze_path(spec.name)
 
     def step(rows: DataFrame, batch: int) -> None:
         load = load_name(checkpoint, batch)
-        write_batch(with_audit(rows, LIVE_BATCH, load), path)
+        on_rows(write_batch(with_audit(rows, LIVE_BATCH, load), path))
         if merge:
             stored = read_batch(rows.sparkSession, path, LIVE_BATCH, load)
             lake.silver(spec.name).upsert(clean_live(stored, spec), spec.version)
@@ -57,14 +58,16 @@ def ingest_step(lake: Lake, spec: TableSpec, checkpoint: str,
 
 def start_live(lake: Lake, live: str, spec: TableSpec, checkpoint: str,
                trigger: dict | None = None, archive: str | None = None,
-               files_per_trigger: int | None = None, merge: bool = True) -> StreamingQuery:
+               files_per_trigger: int | None = None, merge: bool = True,
+               on_rows: Callable[[int], None] = lambda n: None) -> StreamingQuery:
     """Start the stream of one table; offsets in ``checkpoint`` keep it incremental.
 
     ``checkpoint`` and ``archive`` belong on shared storage.
     """
     rows = read_live(lake.spark, live, spec, archive, files_per_trigger)
-    return (rows.writeStream.foreachBatch(ingest_step(lake, spec, checkpoint, merge))
-            .option("checkpointLocation", checkpoint).trigger(**(trigger or ONCE)).start())
+    return (rows.writeStream.foreachBatch(
+        ingest_step(lake, spec, checkpoint, merge, on_rows))
+        .option("checkpointLocation", checkpoint).trigger(**(trigger or ONCE)).start())
 
 
 def run_live(lake: Lake, live: str, checkpoints: str, archive: str | None = None,
@@ -72,14 +75,11 @@ def run_live(lake: Lake, live: str, checkpoints: str, archive: str | None = None
     """Process everything that has arrived for all transactional tables, then return
     the number of new rows per table (0 when there was nothing to do). The streams
     run side by side, as they touch different tables."""
-    started = {
-        name: start_live(lake, live, spec, f"{checkpoints}/{name}", ONCE, archive,
-                         files_per_trigger, merge)
-        for name, spec in lake.transactional.items()}
-    rows = {}
-    for name, query in started.items():
-        query.awaitTermination()
-        if query.exception():
-            raise query.exception()
-        rows[name] = sum(p["numInputRows"] for p in query.recentProgress)
-    return rows
+    seen: dict[str, list[int]] = {name: [] for name in lake.transactional}
+    started = [
+        start_live(lake, live, spec, f"{checkpoints}/{name}", ONCE, archive,
+                   files_per_trigger, merge, seen[name].append)
+        for name, spec in lake.transactional.items()]
+    for stream in started:
+        stream.awaitTermination()
+    return {name: sum(counts) for name, counts in seen.items()}

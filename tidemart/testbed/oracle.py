@@ -181,6 +181,14 @@ CTES |= {
                    AS avg_review
         FROM prod p JOIN s_products d ON p.product_id = d.product_id
         GROUP BY 1 ORDER BY total_sales DESC NULLS LAST, category LIMIT 20""",
+    # the stored pipeline reads ids from CSV as text, so its last tie-breakers are texts
+    "text_items": """
+        SELECT order_id, order_item_id, product_id, seller_id, price, freight_value, shipped_at
+        FROM (SELECT *, row_number() OVER (
+                  PARTITION BY order_id, order_item_id
+                  ORDER BY shipped_at DESC NULLS LAST, cast(product_id AS string),
+                           cast(seller_id AS string), price, freight_value) AS rn
+              FROM raw_order_items) WHERE rn = 1""",
     "batches": """
         SELECT 'batch_' || cast(1 + order_id % 4 AS string) AS batch_id, * FROM raw_orders""",
     # one row per customer and month, for the cohorts
@@ -201,6 +209,9 @@ CTES |= {
 }
 
 
+CTES["text_fact"] = CTES["fact"].replace("s_items", "text_items")
+
+
 def compose(body: str) -> str:
     """``body`` preceded by the CTEs it needs, directly or indirectly."""
     needed: set[str] = set()

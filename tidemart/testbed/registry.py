@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, replace
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +16,9 @@ from tidemart.functions.text import mask_id
 from tidemart.operators.clean import clean, clean_live
 from tidemart.operators.dedup import latest_per_key
 from tidemart.plans import cohorts, gold, kpi
-from tidemart.plans.pipeline import BATCHES, Lake, build_gold, run_bronze, run_silver
+from tidemart.plans.pipeline import (
+    BATCHES, Lake, StageResult, build_gold, raise_first, run_bronze, run_silver, side_by_side,
+)
 from tidemart.session import scratch_dir
 from tidemart.sources import csv
 from tidemart.sources.bronze import LIVE_BATCH, counted, read_batch, write_batch
@@ -85,14 +87,18 @@ def to_csv(df: DataFrame, path: str) -> str:
 
 def export_batches(r: Retail, raw: str, names=tuple(SPECS)) -> None:
     """The source files of all batches, as the pipeline expects them."""
+    jobs = {}
     for name in names:
+        spec, rows = SPECS[name], r.raw(name)
         if name in REFERENCE_SPECS:
-            to_csv(r.raw(name), f"{raw}/batch_1/{SPECS[name].source_file}")
+            jobs[name] = partial(to_csv, rows, csv.batch_path(raw, 1, spec))
             continue
-        rows = r.raw(name)
         for n in BATCHES:
-            to_csv(rows.where(F.col("order_id") % 4 + 1 == int(n)),
-                   f"{raw}/batch_{n}/{SPECS[name].source_file}")
+            part = rows.where(F.col("order_id") % 4 + 1 == int(n))
+            jobs[f"{name}_{n}"] = partial(to_csv, part, csv.batch_path(raw, n, spec))
+    exported = StageResult()
+    side_by_side(jobs, exported, workers=8)
+    raise_first(exported)
 
 
 def live_frame(r: Retail, name: str = "live_orders") -> DataFrame:
@@ -721,9 +727,7 @@ def filled_lake(r: Retail, label: str) -> Lake:
     lake = Lake(r.spark, f"{root}/lake", {n: SPECS[n] for n in REFERENCE_SPECS},
                 {n: SPECS[n] for n in TRANSACTIONAL_SPECS}, buckets=8)
     for n in BATCHES:
-        done = run_bronze(lake, f"{root}/raw", n)
-        if done.errors:
-            raise next(iter(done.errors.values()))
+        raise_first(run_bronze(lake, f"{root}/raw", n))
         run_silver(lake, n)
     return lake
 
@@ -744,7 +748,7 @@ def _(r):
     return row_counts({n: lake.silver(n).read() for n in SPECS})
 
 
-@query("pipeline_gold", "SELECT * FROM fact")
+@query("pipeline_gold", "SELECT * FROM text_fact")
 def _(r):
     """The stored fact after four batches equals the fact computed in one go."""
     lake = filled_lake(r, "gold")
@@ -764,7 +768,9 @@ def _(r):
     UNION ALL SELECT 'product_performance', count(*) FROM prod""")
 def _(r):
     lake = Lake(r.spark, scratch_dir(r.spark, "audit"), buckets=8)
-    for name in SPECS:
-        lake.silver(name).overwrite(r.silver(name))
+    filled = StageResult()
+    side_by_side({n: partial(lambda n: lake.silver(n).overwrite(r.silver(n)), n)
+                  for n in SPECS}, filled)
+    raise_first(filled)
     build_gold(lake)
     return row_counts({n: lake.gold(n).read() for n in CONTRACT_DDL})
