@@ -1,0 +1,195 @@
+"""Batches and live files through all layers."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemart.plans.pipeline import Lake, build_gold, export_warehouse, run_bronze, run_silver
+from tidemart.specs import ALL_SPECS, CONTRACT_DDL, REFERENCE_SPECS, TRANSACTIONAL_SPECS, contract
+from tidemart.streaming.live import load_name, run_live
+from tidemart.sources.bronze import LIVE_BATCH, read_batch
+from tests.conftest import rows
+
+ORDERS = {"orders": TRANSACTIONAL_SPECS["orders"]}
+
+
+def csv_file(spark, path, name, data):
+    spec = ALL_SPECS[name]
+    full = [tuple(row.get(c) for c in spec.columns) for row in data]
+    (spark.createDataFrame(full, spec.csv_schema).coalesce(1)
+     .write.mode("overwrite").option("header", True).csv(f"{path}/{spec.source_file}"))
+
+
+def order(i, status="shipped", at="2018-01-01 10:00:00"):
+    return {"order_id": f"o{i}", "customer_id": f"c{i % 3}", "order_status": status,
+            "order_purchase_timestamp": at}
+
+
+def write_batches(spark, raw, batches=("1", "2", "3", "4"), missing=()):
+    for b in batches:
+        n = int(b) * 10
+        csv_file(spark, f"{raw}/batch_{b}", "orders", [order(n + i) for i in range(3)])
+        if "order_items" not in missing:
+            csv_file(spark, f"{raw}/batch_{b}", "order_items", [
+                {"order_id": f"o{n + i}", "order_item_id": "1", "product_id": "p1",
+                 "seller_id": "s1", "price": "10.5", "freight_value": "x"} for i in range(3)] * 2)
+        csv_file(spark, f"{raw}/batch_{b}", "order_payments", [
+            {"order_id": f"o{n}", "payment_sequential": "1", "payment_type": "not_defined",
+             "payment_value": "10.5", "payment_installments": "1"}])
+        csv_file(spark, f"{raw}/batch_{b}", "order_reviews", [
+            {"review_id": f"r{n}", "order_id": f"o{n}", "review_score": "5"}])
+    if "1" in batches:
+        csv_file(spark, f"{raw}/batch_1", "category_translation", [
+            {"product_category_name": "moveis", "product_category_name_english": "furniture"}])
+        csv_file(spark, f"{raw}/batch_1", "geolocation", [
+            {"geolocation_zip_code_prefix": "01310", "geolocation_lat": lat,
+             "geolocation_lng": "-46.5", "geolocation_city": "sp", "geolocation_state": "SP"}
+            for lat in ("-23.5", "-23.7")])
+        csv_file(spark, f"{raw}/batch_1", "sellers", [
+            {"seller_id": "s1", "seller_zip_code_prefix": "01310", "seller_city": " sao paulo",
+             "seller_state": "sp "}])
+        csv_file(spark, f"{raw}/batch_1", "customers", [
+            {"customer_id": f"c{i}", "customer_unique_id": f"u{i}", "customer_state": "rj",
+             "customer_city": "rio", "customer_zip_code_prefix": "20000"} for i in range(3)])
+        csv_file(spark, f"{raw}/batch_1", "products", [
+            {"product_id": "p1", "product_category_name": "moveis", "product_name_lenght": "9"}])
+
+
+def small_lake(spark, root):
+    return Lake(spark, f"{root}/lake", buckets=4)
+
+
+@pytest.fixture(scope="module")
+def loaded(spark):
+    """A lake after batches 1 to 4, with batches 2 to 4 in another order."""
+    from tidemart.session import scratch_dir
+    root = scratch_dir(spark, "pipeline")
+    write_batches(spark, f"{root}/raw")
+    lake = small_lake(spark, root)
+    for b in "1324":
+        assert run_bronze(lake, f"{root}/raw", b).errors == {}
+        run_silver(lake, b)
+    return root, lake
+
+
+def test_all_batches_are_in_silver_once(loaded):
+    _, lake = loaded
+    assert lake.silver("orders").read().count() == 12
+    assert lake.silver("order_items").read().count() == 12
+    assert rows(lake.silver("order_payments").read().select("payment_type").distinct()) == [
+        ("unknown",)]
+    assert set(lake.silver("orders").read().columns) == set(ALL_SPECS["orders"].columns)
+    assert rows(lake.silver("sellers").read()) == [("s1", "01310", "Sao Paulo", "SP")]
+    assert lake.silver("products").read().first()["product_category_name_english"] == "furniture"
+
+
+def test_a_finished_batch_is_skipped_until_reset(loaded):
+    root, lake = loaded
+    assert run_bronze(lake, f"{root}/raw", "2").skipped
+    lake.ledger.reset("2")
+    again = run_bronze(lake, f"{root}/raw", "2")
+    assert not again.skipped and again.rows["orders"] == 3
+    run_silver(lake, "2")
+    assert lake.silver("orders").read().count() == 12
+
+
+def test_gold_and_warehouse(loaded):
+    _, lake = loaded
+    built = build_gold(lake).rows
+    assert built["fact_order_items"] == 12 and set(built) == set(CONTRACT_DDL)
+    assert rows(lake.gold("dim_sellers").read(), "seller_lat") == [(-23.6,)]
+    tables = export_warehouse(lake)
+    for name, df in tables.items():
+        assert df.schema == contract(name) and df.count() == built[name]
+
+
+def test_unknown_batch(spark, lake_dir):
+    for stage in (lambda: run_bronze(small_lake(spark, lake_dir), lake_dir, "5"),
+                  lambda: run_silver(small_lake(spark, lake_dir), "live")):
+        with pytest.raises(ValueError, match="unknown batch"):
+            stage()
+
+
+def test_one_failing_table_keeps_the_batch_open(spark, lake_dir):
+    raw, lake = f"{lake_dir}/raw", small_lake(spark, lake_dir)
+    write_batches(spark, raw, ("2",), missing=("order_items",))
+    first = run_bronze(lake, raw, "2")
+    assert set(first.errors) == {"order_items"} and first.rows["orders"] == 3
+    assert not lake.ledger.is_done("2", "bronze")
+    write_batches(spark, raw, ("2",))
+    assert run_bronze(lake, raw, "2").errors == {}
+    assert lake.ledger.is_done("2", "bronze")
+    assert spark.read.parquet(lake.bronze_path("orders")).count() == 3
+    assert REFERENCE_SPECS.keys() & first.rows.keys() == set()
+
+
+def live_csv(path, stamp, data):
+    """A single live file, as a feed delivers it."""
+    import os
+    spec = ALL_SPECS["orders"]
+    os.makedirs(path, exist_ok=True)
+    with open(f"{path}/{stamp}_{spec.source_file}", "w") as f:
+        f.write(",".join(spec.columns) + "\n")
+        for row in data:
+            f.write(",".join(row.get(c) or "" for c in spec.columns) + "\n")
+
+
+def test_live_files_are_processed_once_and_upserted(spark, lake_dir):
+    lake = Lake(spark, f"{lake_dir}/lake", {}, ORDERS, buckets=4)
+    live, offsets = f"{lake_dir}/live", f"{lake_dir}/offsets"
+    assert run_live(lake, live, offsets) == {"orders": 0}
+    live_csv(live, "20260101_000000", [order(1), order(2), order(2)])
+    live_csv(live, "20260101_001000", [order(1, "delivered")])
+    assert run_live(lake, live, offsets, files_per_trigger=1) == {"orders": 4}
+    assert rows(lake.silver("orders").read(), "order_id", "order_status") == [
+        ("o1", "delivered"), ("o2", "shipped")]
+    assert run_live(lake, live, offsets) == {"orders": 0}
+    live_csv(live, "20260101_002000", [order(3)])
+    assert run_live(lake, live, offsets) == {"orders": 1}
+    assert lake.silver("orders").read().count() == 3
+    stored = read_batch(spark, lake.bronze_path("orders"), LIVE_BATCH)
+    assert stored.count() == 5
+    assert rows(stored.select("source_file").distinct())[0][0].endswith("orders_dataset.csv")
+    assert "batch_id" not in lake.silver("orders").read().columns
+
+
+def test_live_result_equals_batch_result(spark, lake_dir):
+    data = [order(i) for i in range(5)]
+    live_csv(f"{lake_dir}/live", "20260101_000000", data)
+    streamed = Lake(spark, f"{lake_dir}/a", {}, ORDERS, buckets=4)
+    run_live(streamed, f"{lake_dir}/live", f"{lake_dir}/offsets")
+    csv_file(spark, f"{lake_dir}/raw/batch_1", "orders", data)
+    batch = Lake(spark, f"{lake_dir}/b", {}, ORDERS, buckets=4)
+    run_bronze(batch, f"{lake_dir}/raw", "1")
+    run_silver(batch, "1")
+    assert rows(streamed.silver("orders").read()) == rows(batch.silver("orders").read())
+
+
+def test_a_new_checkpoint_does_not_replace_older_loads():
+    assert load_name("/a", 0) != load_name("/b", 0) and load_name("/a", 0) < load_name("/a", 1)
+
+
+def test_processed_files_are_archived(spark, lake_dir):
+    import os
+    lake = Lake(spark, f"{lake_dir}/lake", {}, ORDERS, buckets=4)
+    live, archive = f"{lake_dir}/live", f"{lake_dir}/archive"
+    for i in range(3):
+        live_csv(live, f"20260101_00{i}000", [order(i)])
+        run_live(lake, live, f"{lake_dir}/offsets", archive=archive)
+    assert len(os.listdir(live)) < 3
+    assert any(files for _, _, files in os.walk(archive))
+    assert lake.silver("orders").read().count() == 3
+
+
+def test_newer_version_survives_a_late_row(spark, lake_dir):
+    from dataclasses import replace
+    spec = {"orders": replace(ORDERS["orders"], version="order_purchase_timestamp")}
+    lake = Lake(spark, f"{lake_dir}/lake", {}, spec, buckets=4)
+    live = f"{lake_dir}/live"
+    live_csv(live, "20260101_000000", [order(1, "new", "2018-05-01 00:00:00")])
+    run_live(lake, live, f"{lake_dir}/offsets")
+    live_csv(live, "20260101_001000", [order(1, "late", "2018-04-01 00:00:00")])
+    run_live(lake, live, f"{lake_dir}/offsets")
+    got = lake.silver("orders").read().select("order_status", F.month("order_purchase_timestamp"))
+    assert rows(got) == [("new", 5)]

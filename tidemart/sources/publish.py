@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.sources.bronze import counted
+from tidemart.sources.bronze import counted, rows_seen
 
 LOADED, REJECTED = "loaded", "rejected"
 
@@ -45,7 +45,7 @@ def publish(df: DataFrame, contract: T.StructType, path: str) -> int:
     ``load_status=loaded`` and ``load_status=rejected``. Returns the rows written."""
     out, seen = counted(conform(df, contract), "publish")
     out.write.mode("overwrite").partitionBy("load_status").parquet(path)
-    return seen.get["rows"]
+    return rows_seen(seen)
 
 
 def _read(spark: SparkSession, path: str, contract: T.StructType, status: str) -> DataFrame:

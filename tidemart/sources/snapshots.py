@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from tidemart.operators.dedup import latest_per_key
 from tidemart.operators.upsert import any_null, merge_by_key
-from tidemart.sources.bronze import counted
+from tidemart.sources.bronze import counted, rows_seen
 from tidemart.sources.paths import matching
 
 MANIFEST = "bucket int, load string, schema string"
@@ -81,7 +81,7 @@ class SnapshotTable:
             if not by_key:
                 df = df.hint("rebalance", "bucket")
             df.write.partitionBy("bucket").parquet(target)
-        return load, seen.get["rows"]
+        return load, rows_seen(seen)
 
     def _read_entries(self, entries: list) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(entries[0]["schema"]))

@@ -21,7 +21,7 @@ from tidemart.plans.pipeline import (
 )
 from tidemart.session import scratch_dir
 from tidemart.sources import csv
-from tidemart.sources.bronze import LIVE_BATCH, counted, read_batch, write_batch
+from tidemart.sources.bronze import LIVE_BATCH, counted, read_batch, rows_seen, write_batch
 from tidemart.sources.ledger import Ledger
 from tidemart.sources.publish import publish, published, quarantined, row_counts
 from tidemart.sources.snapshots import SnapshotTable, read_first
@@ -332,7 +332,7 @@ def _(r):
     for name in ("customers", "sellers", "products", "order_items"):
         df, seen = counted(r.silver(name), name)
         df.write.parquet(f"{root}/{name}")
-        counts.append((name, seen.get["rows"]))
+        counts.append((name, rows_seen(seen)))
     return r.spark.createDataFrame(counts, "table_name string, n bigint")
 
 
