@@ -56,6 +56,35 @@ def test_upsert_rewrites_only_touched_buckets(spark, lake_dir):
     assert t.read().count() == 200 and rows(t.read().where("v = 'b'")) == [(7, "b")]
 
 
+def test_insert_only_upsert_rewrites_nothing(spark, lake_dir):
+    t = SnapshotTable(spark, lake_dir, ["k"], 4)
+    t.overwrite(spark.range(100).selectExpr("cast(id AS int) k", "'a' v"))
+    before = set(t.read().inputFiles())
+    assert t.upsert(spark.range(100, 120).selectExpr("cast(id AS int) k", "'b' v")) == 20
+    assert before < set(t.read().inputFiles()) and t.read().count() == 120
+    t.upsert(spark.range(90, 110).selectExpr("cast(id AS int) k", "'c' v"))
+    assert rows(t.read().groupBy("v").count()) == [("a", 90), ("b", 10), ("c", 20)]
+
+
+def test_keys_of_another_type_find_their_bucket(spark, lake_dir):
+    t = SnapshotTable(spark, lake_dir, ["k"], 8)
+    t.overwrite(spark.range(50).selectExpr("cast(id AS int) k", "'a' v"))
+    t.upsert(spark.range(40, 60).selectExpr("id k", "'b' v"))
+    assert rows(t.read().groupBy("v").count()) == [("a", 40), ("b", 20)]
+    t.upsert(spark.range(50).selectExpr("cast(id AS string) k", "'c' v"))
+    assert rows(t.read().groupBy("v").count()) == [("b", 10), ("c", 50)]
+
+
+def test_compaction_keeps_all_rows(spark, lake_dir):
+    t = SnapshotTable(spark, lake_dir, ["k"], 2)
+    for i in range(4):
+        t.upsert(frame(spark, [(10 * i + j, "a") for j in range(5)] + [(None, "n")]))
+    files = len(t.read().inputFiles())
+    assert t.compact(max_loads=8) == 0
+    assert t.compact(max_loads=2) == 24
+    assert t.read().count() == 24 and len(t.read().inputFiles()) < files
+
+
 def test_rows_shuffled_by_key_arrive_with_few_buckets_per_task(spark, lake_dir):
     t = SnapshotTable(spark, lake_dir, ["k"], 8)
     t.upsert(spark.range(5000).selectExpr("cast(id AS int) k", "'a' v"))

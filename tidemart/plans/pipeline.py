@@ -9,6 +9,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemart.functions.rules import apply_rules
 from tidemart.operators.clean import clean
 from tidemart.operators.skew import hot_slots
 from tidemart.plans import gold
@@ -138,11 +139,13 @@ def run_silver(lake: Lake, batch: str) -> StageResult:
         return lake.silver(name).overwrite(clean(lake.bronze_table(name).read(), spec, lookup))
 
     def transactional(name: str, spec: TableSpec) -> int:
-        rows = clean(read_batch(lake.spark, lake.bronze_path(name), batch_id), spec)
+        raw = read_batch(lake.spark, lake.bronze_path(name), batch_id)
+        rows = clean(raw, spec)
         unique = spec.unique_keys == spec.merge_keys
         if batch == "1":
             return lake.silver(name).overwrite(rows, by_key=unique)
-        return lake.silver(name).upsert(rows, unique=unique)
+        return lake.silver(name).upsert(rows, unique=unique,
+                                        key_rows=apply_rules(raw, spec.rules))
 
     first = {n: partial(transactional, n, s) for n, s in lake.transactional.items()
              if has_batch(lake.spark, lake.bronze_path(n), batch_id)}

@@ -3,13 +3,16 @@
 Plain Parquet has no MERGE. A write goes to a new folder and becomes visible when
 one small manifest file is added, so readers never see half a write and a failed or
 repeated job changes nothing. Keyed tables are split into hash buckets; an upsert
-rewrites only the buckets its keys fall into and refers to the others in place.
+rewrites only the buckets in which a key matches, adds a load to those that only gain
+rows, and refers to the others in place. One writer per table at a time: of two writers
+of the same version the second fails.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Sequence
 from uuid import uuid4
 
@@ -18,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.operators.dedup import latest_per_key
-from tidemart.operators.upsert import any_null, merge_by_key
+from tidemart.operators.upsert import align_types, any_null, merge_by_key
 from tidemart.sources.bronze import counted, rows_seen
 from tidemart.sources.paths import matching
 
@@ -72,15 +75,15 @@ class SnapshotTable:
         most lcm(P, buckets) files, P if the buckets divide P. Otherwise rows are
         grouped by bucket first; AQE then splits a large bucket into several files."""
         load = uuid4().hex
-        df, seen = counted(df, load)
         target = f"{self.path}/data/load={load}"
-        if self.buckets == 1:
-            df.write.parquet(target)
-        else:
+        if self.buckets > 1:
             df = df.withColumn("bucket", self.bucket_of(df))
             if not by_key:
                 df = df.hint("rebalance", "bucket")
-            df.write.partitionBy("bucket").parquet(target)
+        # counted after the last shuffle: a map stage that reruns would count twice
+        df, seen = counted(df, load)
+        writer = df.write.partitionBy("bucket") if self.buckets > 1 else df.write
+        writer.parquet(target)
         return load, rows_seen(seen)
 
     def _read_entries(self, entries: list) -> DataFrame:
@@ -119,43 +122,66 @@ class SnapshotTable:
         return sorted(int(re.search(r"bucket=(-?\d+)", f)[1]) for f in folders)
 
     def upsert(self, source: DataFrame, version_col: str | None = None,
-               unique: bool = False) -> int:
+               unique: bool = False, key_rows: DataFrame | None = None) -> int:
         """Insert new keys and replace known ones. A missing table is created. With
         ``version_col`` a row older than the stored one is ignored. ``unique`` promises
-        one source row per key and saves the dedup. Returns the rows written, which are
-        those of the touched buckets.
-
-        The source is read several times (for its buckets, its keys and its rows), so
-        it should be a stored table rather than a long computation. Running the same
-        source twice gives the same keyed rows, so an at-least-once caller is safe; rows
-        without a key are inserted each time, as in a SQL MERGE.
+        one source row per key and saves the dedup. Returns the rows written: the source
+        and what else lives in the buckets where a key matched.
+
+        Buckets without a match are not read beyond their keys nor rewritten; they only
+        gain the new rows. So a batch of new orders costs its own size plus a scan of
+        the key columns. ``key_rows`` may give the source keys from an earlier, cheaper
+        step than ``source`` (duplicates do not matter). Both should start from stored
+        data, as they are evaluated separately. Running the same source twice gives the
+        same keyed rows, so an at-least-once caller is safe; rows without a key are
+        inserted each time, as in a SQL MERGE.
         """
         latest = source if unique else latest_per_key(source, self.keys, version_col)
         version = self.version()
         if version == 0:
             return self.overwrite(latest, by_key=True)
         entries = self._entries(version)
-        touched = self._touched(source)
+        nothing = [entries[0].asDict() | {"load": ""}]
+        # the hash of a key depends on its type, so buckets come from the stored type
+        keys = align_types((source if key_rows is None else key_rows).select(*self.keys),
+                           self._read_entries(nothing))
+        touched = self._buckets_of(keys)
         if not touched:
             return 0
-        rewritten = touched - {NO_KEY}
-        hit = [e for e in entries if e["bucket"] in rewritten and e["load"]]
-        old = self._read_entries(hit or [entries[0].asDict() | {"load": ""}])
-        merged = merge_by_key(old, latest, self.keys, version_col, source.select(*self.keys))
+        near = [e for e in entries if e["bucket"] in touched - {NO_KEY}]
+        matched = self._buckets_of(self._read_entries(near or nothing).select(*self.keys).join(
+            keys.distinct(), list(self.keys), "left_semi"))
+        hit = [e for e in near if e["bucket"] in matched]
+        old = self._read_entries(hit or nothing)
+        merged = merge_by_key(old, latest, self.keys, version_col, keys)
         load, rows = self._write(merged, by_key=True)
         loads = [(e["bucket"], e["load"]) for e in entries
-                 if e["load"] and e["bucket"] not in rewritten]
-        loads += [(b, load) for b in touched]
+                 if e["load"] and e["bucket"] not in matched]
+        loads += [(b, load) for b in (touched if self.buckets > 1 else {0})]
         self._commit(version + 1, loads, merged.schema)
         return rows
 
-    def _touched(self, source: DataFrame) -> set[int]:
-        """Buckets the source falls into: at most ``buckets`` small integers."""
+    def _buckets_of(self, keys: DataFrame) -> set[int]:
+        """Buckets the keys fall into: at most ``buckets`` small integers."""
         if self.buckets == 1:
-            return set() if source.isEmpty() else {0}
-        source = source.select(*self.keys)
-        buckets = source.select(self.bucket_of(source).alias("b")).distinct()
-        return {r["b"] for r in buckets.collect()}
+            return set() if keys.isEmpty() else {0}
+        return {r["b"] for r in
+                keys.select(self.bucket_of(keys).alias("b")).distinct().collect()}
+
+    def compact(self, max_loads: int = 8) -> int:
+        """Rewrite the buckets whose rows are spread over more than ``max_loads`` loads.
+        Returns the rows written."""
+        version = self.version()
+        entries = self._entries(version)
+        loads_of = Counter(e["bucket"] for e in entries)
+        many = {b for b, n in loads_of.items() if n > max_loads}
+        if not many:
+            return 0
+        df = self._read_entries([e for e in entries if e["bucket"] in many])
+        load, rows = self._write(df, by_key=False)
+        kept = [(e["bucket"], e["load"]) for e in entries if e["bucket"] not in many]
+        self._commit(version + 1, kept + [(b, load) for b in many], df.schema)
+        return rows
 
 
 def register(spark: SparkSession, name: str, table: SnapshotTable) -> None:

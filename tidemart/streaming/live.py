@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemart.functions.rules import apply_rules
 from tidemart.operators.clean import clean_live
 from tidemart.plans.pipeline import Lake
 from tidemart.sources.bronze import LIVE_BATCH, read_batch, write_batch
@@ -51,7 +52,8 @@ def ingest_step(lake: Lake, spec: TableSpec, checkpoint: str, merge: bool = True
         on_rows(write_batch(with_audit(rows, LIVE_BATCH, load), path))
         if merge:
             stored = read_batch(rows.sparkSession, path, LIVE_BATCH, load)
-            lake.silver(spec.name).upsert(clean_live(stored, spec), spec.version)
+            lake.silver(spec.name).upsert(clean_live(stored, spec), spec.version,
+                                          key_rows=apply_rules(stored, spec.rules))
 
     return step
 
