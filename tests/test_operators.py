@@ -97,7 +97,7 @@ def test_hot_slots_find_the_hot_keys_and_nothing_else(spark):
     want = {r[0] for r in spark.createDataFrame([(5,), (None,)], "k bigint")
             .select(F.pmod(F.xxhash64("k"), F.lit(SLOTS)).cast("int")).collect()}
     assert set(hot) == want and all(30 <= pieces <= 40 for pieces in hot.values())
-    assert hot_slots(df, ["k"]) == []
+    assert hot_slots(df, ["k"]) == []  # too few rows to matter
 
 
 def test_split_join_equals_plain_join_and_spreads_the_hot_key(spark):

@@ -182,6 +182,18 @@ def test_processed_files_are_archived(spark, lake_dir):
     assert lake.silver("orders").read().count() == 3
 
 
+def test_live_rows_can_carry_the_merge_time(spark, lake_dir):
+    csv_file(spark, f"{lake_dir}/raw/batch_1", "orders", [order(1)])
+    lake = Lake(spark, f"{lake_dir}/lake", {}, ORDERS, buckets=4, stamp_live=True)
+    run_bronze(lake, f"{lake_dir}/raw", "1")
+    run_silver(lake, "1")
+    live_csv(f"{lake_dir}/live", "20260101_000000", [order(2)])
+    run_live(lake, f"{lake_dir}/live", f"{lake_dir}/offsets")
+    got = lake.silver("orders").read().select(
+        "order_id", F.col("cdc_merge_timestamp").isNotNull())
+    assert rows(got) == [("o1", False), ("o2", True)]
+
+
 def test_newer_version_survives_a_late_row(spark, lake_dir):
     from dataclasses import replace
     spec = {"orders": replace(ORDERS["orders"], version="order_purchase_timestamp")}

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 # (slot, pieces): keys are hashed into SLOTS slots; a hot slot is cut into pieces.
 HotSlots = list[tuple[int, int]]
-SLOTS = 65536
+SLOTS = 1 << 18
 
-# A slot is hot above this share of the rows, so at most 1 / HOT_SHARE slots are. An
-# ordinary slot holds about 1 / SLOTS of the rows, far below it.
+# A slot is hot above this share of the rows, or above two average shuffle partitions
+# if that is less, so at most 1 / share slots are. With far more slots than partitions
+# an ordinary slot stays well below.
 HOT_SHARE = 0.002
 # Fewer rows than this in one task are never worth splitting.
 MIN_PIECE = 100_000
@@ -22,7 +23,7 @@ def slot_of(keys: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(SLOTS)).cast("int")
 
 
-def hot_slots(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE,
+def hot_slots(df: DataFrame, keys: Sequence[str], share: float | None = None,
               min_piece: int = MIN_PIECE) -> HotSlots:
     """Slots that hold more rows than one task should get, with the pieces they need.
 
@@ -30,6 +31,9 @@ def hot_slots(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE,
     partial results, not the rows or keys, are shuffled. The driver receives at most
     ``1 / share`` rows. NULL keys count too, since a left join keeps them.
     """
+    if share is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        share = min(HOT_SHARE, 2 / partitions)
     counts = df.groupBy(slot_of(keys).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
     piece = F.greatest(F.sum("n").over(Window.partitionBy()) * share, F.lit(float(min_piece)))
     hot = counts.withColumn("pieces", F.ceil(F.col("n") / piece).cast("int")).where("pieces > 1")

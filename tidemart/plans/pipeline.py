@@ -30,7 +30,9 @@ class Lake:
     """Where the layers live and which specs they follow.
 
     ``buckets`` splits each growing curated table; choose it so that a bucket is a few
-    GB, since an upsert rewrites whole buckets.
+    GB, since an upsert rewrites whole buckets, and so that it divides
+    ``spark.sql.shuffle.partitions``. ``stamp_live`` adds ``cdc_merge_timestamp`` to rows
+    that came by the live path.
     """
 
     spark: SparkSession
@@ -38,6 +40,7 @@ class Lake:
     reference: Mapping[str, TableSpec] = field(default_factory=lambda: REFERENCE_SPECS)
     transactional: Mapping[str, TableSpec] = field(default_factory=lambda: TRANSACTIONAL_SPECS)
     buckets: int = 64
+    stamp_live: bool = False
 
     def bronze_path(self, name: str) -> str:
         return f"{self.root}/bronze/{name}"

@@ -52,7 +52,10 @@ def ingest_step(lake: Lake, spec: TableSpec, checkpoint: str, merge: bool = True
         on_rows(write_batch(with_audit(rows, LIVE_BATCH, load), path))
         if merge:
             stored = read_batch(rows.sparkSession, path, LIVE_BATCH, load)
-            lake.silver(spec.name).upsert(clean_live(stored, spec), spec.version,
+            cleaned = clean_live(stored, spec)
+            if lake.stamp_live:
+                cleaned = cleaned.withColumn("cdc_merge_timestamp", F.current_timestamp())
+            lake.silver(spec.name).upsert(cleaned, spec.version,
                                           key_rows=apply_rules(stored, spec.rules))
 
     return step
