@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 
 def cents(c: Column | str) -> Column:
-    """Whole cents; NaN and infinities count as NULL."""
+    """Whole cents; NaN and infinities count as NULL. ``rint`` stays in doubles, where
+    ``round`` would make a BigDecimal per row; amounts with two decimals have no ties."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c * 100).try_cast("bigint")
+    return F.rint(c * 100).try_cast("bigint")
 
 
 def amount(cent_total: Column, digits: int = 2) -> Column:

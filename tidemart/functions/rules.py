@@ -37,17 +37,22 @@ def apply_rules(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
 
     Renaming an absent column does nothing; any other rule on one is an error.
     """
-    exprs = {c.lower(): (c, F.col(f"`{c}`")) for c in df.columns}
+    # output name, source column and, once a rule has touched it, the value
+    columns = {c.lower(): (c, f"`{c}`", None) for c in df.columns}
     for rule in rules:
         key = rule.column.lower()
         if rule.action == "rename":
-            if key in exprs:
-                moved = (rule.new_name, exprs[key][1])
-                exprs = {(rule.new_name.lower() if k == key else k): (moved if k == key else v)
-                         for k, v in exprs.items()}
+            columns = {
+                (rule.new_name.lower() if k == key else k):
+                ((rule.new_name, source, value) if k == key else (name, source, value))
+                for k, (name, source, value) in columns.items()}
             continue
-        if key not in exprs:
+        if key not in columns:
             raise ValueError(f"rule {rule.action} names missing column {rule.column}")
-        name, value = exprs[key]
-        exprs[key] = (name, rule_column(value, rule))
-    return df.select(*(value.alias(name) for name, value in exprs.values()))
+        name, source, value = columns[key]
+        current = F.col(source) if value is None else value
+        columns[key] = (name, source, rule_column(current, rule))
+    return df.select(*(
+        source if value is None and source == f"`{name}`"
+        else (F.col(source) if value is None else value).alias(name)
+        for name, source, value in columns.values()))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,15 +17,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], version: str | None = Non
     shuffle: each map task sends at most one row per key, so a key holding a third
     of all rows does not pile up in one task.
     """
-    order = []
-    if version:
-        order.append(F.col(version).desc_nulls_last())
+    order = [f"`{version}` DESC NULLS LAST"] if version else []
     if "ingestion_timestamp" in df.columns and version != "ingestion_timestamp":
-        order.append(F.col("ingestion_timestamp").desc_nulls_last())
+        order.append("ingestion_timestamp DESC NULLS LAST")
     used = set(keys) | {version, "ingestion_timestamp"}
     rest = tie_breakers if tie_breakers is not None else [c for c in df.columns if c not in used]
-    order += [F.col(f"`{c}`").asc_nulls_last() for c in rest]
+    order += [f"`{c}` ASC NULLS LAST" for c in rest]
     if not order:
         return df.dropDuplicates(list(keys))
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
+    by = ", ".join(f"`{k}`" for k in keys)
+    rank = F.expr(f"row_number() OVER (PARTITION BY {by} ORDER BY {', '.join(order)})")
+    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tidemart.operators.counting import rows_seen
+
 # (slot, pieces): keys are hashed into SLOTS slots; a hot slot is cut into pieces.
 HotSlots = list[tuple[int, int]]
 SLOTS = 1 << 18
@@ -34,10 +37,13 @@ def hot_slots(df: DataFrame, keys: Sequence[str], share: float | None = None,
     if share is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         share = min(HOT_SHARE, 2 / partitions)
-    counts = df.groupBy(slot_of(keys).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
-    piece = F.greatest(F.sum("n").over(Window.partitionBy()) * share, F.lit(float(min_piece)))
-    hot = counts.withColumn("pieces", F.ceil(F.col("n") / piece).cast("int")).where("pieces > 1")
-    return [(r["slot"], r["pieces"]) for r in hot.collect()]
+    seen = Observation()
+    counts = (df.groupBy(slot_of(keys).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+              .observe(seen, F.sum("n").alias("rows")))
+    top = (counts.where(F.col("n") > min_piece).orderBy(F.desc("n"))
+           .limit(math.ceil(1 / share)).collect())
+    piece = max(share * rows_seen(seen), min_piece) if top else min_piece
+    return [(r["slot"], math.ceil(r["n"] / piece)) for r in top if r["n"] > piece]
 
 
 def skew_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",

@@ -35,6 +35,15 @@ def retention(orders: DataFrame) -> DataFrame:
         "retention", F.col("active_customers") / F.col("cohort_size"))
 
 
+def retention_matrix(orders: DataFrame, months: int = 12) -> DataFrame:
+    """Active customers with one row per cohort and one column per month offset below
+    ``months``; 0 where nobody came back. The columns are given, so no job finds them."""
+    offsets = list(range(months))
+    wide = (retention(orders).where(F.col("month_offset") < months).groupBy("cohort")
+            .pivot("month_offset", offsets).agg(F.sum("active_customers")))
+    return wide.na.fill(0).select("cohort", *(F.col(f"`{m}`").alias(f"m{m}") for m in offsets))
+
+
 def revenue(orders: DataFrame, items: DataFrame, payments: DataFrame,
             reviews: DataFrame) -> DataFrame:
     """Orders, item revenue, payments and mean review per cohort and month offset. Lines

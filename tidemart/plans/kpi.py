@@ -271,7 +271,7 @@ SELECT c.customer_state AS state,
        round(sum(m.spent) / 100.0D, 0) AS revenue,
        sum(m.orders) AS orders
 FROM (SELECT customer_id, count(DISTINCT order_id) AS orders,
-             sum(try_cast(round(total_amount * 100) AS bigint)) AS spent
+             sum(try_cast(rint(total_amount * 100) AS bigint)) AS spent
       FROM {fact}
       WHERE review_score BETWEEN :low AND :high
       GROUP BY customer_id) m
@@ -284,7 +284,7 @@ LIMIT 15
 
 STATUS_REVENUE_SQL = """
 SELECT order_status,
-       round(sum(try_cast(round(total_amount * 100) AS bigint)) / 100.0D, 0) AS revenue
+       round(sum(try_cast(rint(total_amount * 100) AS bigint)) / 100.0D, 0) AS revenue
 FROM {order_summary}
 WHERE :status IS NULL OR order_status = :status
 GROUP BY order_status

@@ -32,7 +32,8 @@ class Lake:
     ``buckets`` splits each growing curated table; choose it so that a bucket is a few
     GB, since an upsert rewrites whole buckets, and so that it divides
     ``spark.sql.shuffle.partitions``. ``stamp_live`` adds ``cdc_merge_timestamp`` to rows
-    that came by the live path.
+    that came by the live path, which also merges the files of a bucket once it has
+    more than ``max_loads`` loads.
     """
 
     spark: SparkSession
@@ -41,6 +42,7 @@ class Lake:
     transactional: Mapping[str, TableSpec] = field(default_factory=lambda: TRANSACTIONAL_SPECS)
     buckets: int = 64
     stamp_live: bool = False
+    max_loads: int = 32
 
     def bronze_path(self, name: str) -> str:
         return f"{self.root}/bronze/{name}"

@@ -2,29 +2,14 @@
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from tidemart.operators.counting import counted, rows_seen
 from tidemart.sources.paths import exists
 
 LIVE_BATCH = "live_stream"
 
 
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows while they are written, without a second job."""
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
-
-
-def rows_seen(seen: Observation) -> int:
-    """Rows observed; a plan that Spark proves empty carries no metrics at all."""
-    try:
-        return seen.get["rows"]
-    except Py4JJavaError:
-        return 0
-
-
 def write_batch(df: DataFrame, path: str) -> int:
     """Replace exactly the partitions present in ``df``: running a batch again, after
     a failure or by mistake, leaves the same rows. Returns the rows written."""

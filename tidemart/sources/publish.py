@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.sources.bronze import counted, rows_seen
+from tidemart.operators.counting import counted, rows_seen
 
 LOADED, REJECTED = "loaded", "rejected"
 

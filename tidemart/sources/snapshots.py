@@ -20,9 +20,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemart.operators.counting import counted, rows_seen
 from tidemart.operators.dedup import latest_per_key
 from tidemart.operators.upsert import align_types, any_null, merge_by_key
-from tidemart.sources.bronze import counted, rows_seen
 from tidemart.sources.paths import matching
 
 MANIFEST = "bucket int, load string, schema string"

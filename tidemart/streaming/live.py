@@ -55,8 +55,9 @@ def ingest_step(lake: Lake, spec: TableSpec, checkpoint: str, merge: bool = True
             cleaned = clean_live(stored, spec)
             if lake.stamp_live:
                 cleaned = cleaned.withColumn("cdc_merge_timestamp", F.current_timestamp())
-            lake.silver(spec.name).upsert(cleaned, spec.version,
-                                          key_rows=apply_rules(stored, spec.rules))
+            table = lake.silver(spec.name)
+            table.upsert(cleaned, spec.version, key_rows=apply_rules(stored, spec.rules))
+            table.compact(lake.max_loads)
 
     return step
 

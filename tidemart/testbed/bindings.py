@@ -65,8 +65,8 @@ RAW = {
     "order_items": """
         SELECT l_orderkey AS order_id, l_linenumber AS order_item_id,
                l_partkey AS product_id, l_suppkey AS seller_id, l_extendedprice AS price,
-               cast(round(cast(l_extendedprice AS decimal(18,2)) * cast(l_tax AS decimal(4,2)), 2)
-                    AS double) AS freight_value,
+               floor((floor(l_extendedprice * 100 + 0.5) * floor(l_tax * 100 + 0.5) + 50) / 100)
+                   / 100 AS freight_value,
                l_shipdate AS shipped_at
         FROM {lineitem}""",
     "order_payments": """

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from tidemart.functions.rules import apply_rules
 from tidemart.functions.text import mask_id
 from tidemart.operators.clean import clean, clean_live
+from tidemart.operators.counting import counted, rows_seen
 from tidemart.operators.dedup import latest_per_key
 from tidemart.plans import cohorts, gold, kpi
 from tidemart.plans.pipeline import (
@@ -21,7 +22,7 @@ from tidemart.plans.pipeline import (
 )
 from tidemart.session import scratch_dir
 from tidemart.sources import csv
-from tidemart.sources.bronze import LIVE_BATCH, counted, read_batch, rows_seen, write_batch
+from tidemart.sources.bronze import LIVE_BATCH, read_batch, write_batch
 from tidemart.sources.ledger import Ledger
 from tidemart.sources.publish import publish, published, quarantined, row_counts
 from tidemart.sources.snapshots import SnapshotTable, read_first
@@ -634,6 +635,9 @@ query("cohort_retention", """
     JOIN (SELECT cohort, count(DISTINCT customer_id) AS cohort_size
           FROM cohort_rows GROUP BY 1) USING (cohort)""")(
     lambda r: cohorts.retention(r.silver("orders")))
+query("cohort_matrix", "SELECT cast(cohort AS timestamp) AS cohort, " + ", ".join(
+    f"count(DISTINCT customer_id) FILTER (month_offset = {m}) AS m{m}" for m in range(12))
+    + " FROM cohort_rows GROUP BY 1")(lambda r: cohorts.retention_matrix(r.silver("orders")))
 query("cohort_revenue", f"""
     SELECT cast(cohort AS timestamp) AS cohort, cast(month_offset AS int) AS month_offset,
            count(*) AS orders, cast(sum(spent) AS double) / 100.0 AS revenue,
