@@ -7,6 +7,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tidemart.operators.skew import hot_slots
 from tidemart.plans import cohorts, gold, kpi
 from tests.conftest import rows
 
@@ -61,6 +62,20 @@ def gold_columns():
     return contract("fact_order_items").fieldNames()
 
 
+def test_fact_is_the_same_when_a_third_of_the_lines_belong_to_one_order(retail):
+    items = retail.silver("order_items")
+    third = items.where("product_id % 3 = 0").selectExpr(
+        "7L AS order_id", "CAST(order_id * 10 + order_item_id AS INT) AS order_item_id",
+        "product_id", "seller_id", "price", "freight_value")
+    items = items.where("product_id % 3 <> 0").select(third.columns).unionByName(third)
+    rest = [retail.silver(n) for n in ("order_payments", "order_reviews")]
+    hot = hot_slots(items, ["order_id"], share=0.01, min_piece=20)
+    assert hot and max(pieces for _, pieces in hot) > 20
+    orders = retail.silver("orders")
+    assert rows(gold.fact_order_items(orders, items, *rest, hot)) == rows(
+        gold.fact_order_items(orders, items, *rest))
+
+
 def test_delivery_flags(shop):
     got = rows(shop["fact"].select("order_id", "delivery_days", "delay_flag", "on_time_flag")
                .distinct())

@@ -9,7 +9,7 @@ from tests.check import compare, connect
 from tests.conftest import SF
 
 # the whole-pipeline queries take a minute each; ``tests/check.py`` runs them
-SLOW = {"pipeline_batches", "pipeline_gold", "audit_row_counts"}
+SLOW = {"stages_batches", "stages_gold", "audit_row_counts"}
 
 
 @pytest.fixture(scope="module")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from tidemart.plans.pipeline import Lake, build_gold, export_warehouse, run_bronze, run_silver
+from tidemart.plans.stages import Lake, build_gold, export_warehouse, run_bronze, run_silver
 from tidemart.specs import ALL_SPECS, CONTRACT_DDL, REFERENCE_SPECS, TRANSACTIONAL_SPECS, contract
 from tidemart.streaming.live import load_name, run_live
 from tidemart.sources.bronze import LIVE_BATCH, read_batch

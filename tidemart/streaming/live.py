@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemart.functions.rules import apply_rules
 from tidemart.operators.clean import clean_live
-from tidemart.plans.pipeline import Lake
+from tidemart.plans.stages import Lake
 from tidemart.sources.bronze import LIVE_BATCH, read_batch, write_batch
 from tidemart.sources.csv import live_glob, with_audit
 from tidemart.specs import TableSpec

@@ -17,7 +17,7 @@ from tidemart.operators.clean import clean, clean_live
 from tidemart.operators.counting import counted, rows_seen
 from tidemart.operators.dedup import latest_per_key
 from tidemart.plans import cohorts, gold, kpi
-from tidemart.plans.pipeline import (
+from tidemart.plans.stages import (
     BATCHES, Lake, StageResult, build_gold, raise_first, run_bronze, run_silver, side_by_side,
 )
 from tidemart.session import scratch_dir
@@ -90,12 +90,13 @@ def export_batches(r: Retail, raw: str, names=tuple(SPECS)) -> None:
     """The source files of all batches, as the pipeline expects them."""
     jobs = {}
     for name in names:
-        spec, rows = SPECS[name], r.raw(name)
+        spec = SPECS[name]
         if name in REFERENCE_SPECS:
-            jobs[name] = partial(to_csv, rows, csv.batch_path(raw, 1, spec))
+            jobs[name] = partial(to_csv, r.raw(name), csv.batch_path(raw, 1, spec))
             continue
+        rows = with_batch(r.raw(name))
         for n in BATCHES:
-            part = rows.where(F.col("order_id") % 4 + 1 == int(n))
+            part = rows.where(F.col("batch_id") == f"batch_{n}").drop("batch_id")
             jobs[f"{name}_{n}"] = partial(to_csv, part, csv.batch_path(raw, n, spec))
     exported = StageResult()
     side_by_side(jobs, exported, workers=8)
@@ -736,7 +737,7 @@ def filled_lake(r: Retail, label: str) -> Lake:
     return lake
 
 
-@query("pipeline_batches", """
+@query("stages_batches", """
     SELECT 'category_translation' AS table_name, count(*) AS row_count
     FROM raw_category_translation
     UNION ALL SELECT 'geolocation', count(*) FROM s_geolocation
@@ -752,7 +753,7 @@ def _(r):
     return row_counts({n: lake.silver(n).read() for n in SPECS})
 
 
-@query("pipeline_gold", "SELECT * FROM text_fact")
+@query("stages_gold", "SELECT * FROM text_fact")
 def _(r):
     """The stored fact after four batches equals the fact computed in one go."""
     lake = filled_lake(r, "gold")
