@@ -40,7 +40,8 @@ def test_dedup_limits_each_key_before_the_shuffle(spark):
 
 
 def test_later_ingestion_wins_without_a_version(spark):
-    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "z")], "k int, ingestion_timestamp int, v string")
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "z")],
+                               "k int, ingestion_timestamp int, v string")
     assert rows(latest_per_key(df, ["k"]), "v") == [("z",)]
 
 
