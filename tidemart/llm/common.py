@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: int,
     """Batches cut so that the text column of each holds about ``limit`` bytes at most (a
     longer single text stays whole)."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0)
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0)
         start, held = 0, 0
         for at, size in enumerate(sizes.to_pylist()):
             if held and held + size > limit:

@@ -17,6 +17,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -78,7 +79,7 @@ def pieces(docs: DataFrame, path: str, size: int, end_id: int, key: str, text: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ids(path)
         for batch in slices(batches, 1, 2 << 20):
-            texts = pa.compute.fill_null(batch.column(1), "").to_pylist()
+            texts = pc.fill_null(batch.column(1), "").to_pylist()
             out = [(row, at // 4, len(cut) // 4, zlib.crc32(cut), len(data) // 4)
                    for row, data in enumerate(x + end for x in encoder.encode(texts))
                    for at in range(0, len(data), 4 * size)

@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import packing, quality, tokens, urls
+from tidemart.llm import html, near, packing, quality, tokens, urls
 from tidemart.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,16 @@ def _(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages"), rules)
 
 
+@query("op3_html_text")
+def _(spark, sf_dir):
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op5_minhash_dedup")
+def _(spark, sf_dir):
+    return near.near_groups(table(spark, sf_dir, "documents"), near.Near(words=3, percent=85))
+
+
 @query("op6_token_counts")
 def _(spark, sf_dir):
     return tokens.token_counts(table(spark, sf_dir, "documents"),

@@ -17,6 +17,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -151,10 +152,10 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, key: str = "doc_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = merges(path)
         for batch in slices(batches, 1, 2 << 20):
-            texts = pa.compute.fill_null(batch.column(1), "")
+            texts = pc.fill_null(batch.column(1), "")
             n = table.count_texts(texts.to_pylist())
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.compute.binary_length(texts).cast(pa.int64()),
+                batch.column(0), pc.binary_length(texts).cast(pa.int64()),
                 pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())],
                 names=schema.names)
 
