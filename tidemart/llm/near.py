@@ -6,10 +6,12 @@ function. Documents with equal sets form a class; the rest works on one row per
 * Inverted lists hold the retained values. A linked pair shares at least ``need`` of them,
   so it also meets in the lists of the ``size - need + 1`` rarest values of either side: only
   those are listed, and a class whose other values are all its own is in no list at all.
-* The classes of a list are compared with one pivot first. Only classes that this leaves in
-  different components are compared with each other, so that a group of thousands of copies
-  costs one comparison per copy, and no link between components is lost.
-* A pair is estimated on the sketch of the union, and confirmed on the whole sets.
+* The classes of a list are compared with one pivot first. A pair is estimated on the sketch
+  of the union, and confirmed on the whole sets.
+* Classes that this leaves in different components of a list get lists on their whole sets,
+  rarest values first; pairs across components that can still reach the similarity from
+  where they stand in the list are confirmed. So a group of thousands of copies costs about
+  one comparison per copy, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -129,16 +131,60 @@ def _estimated(pairs: DataFrame, classes: DataFrame, near: Near) -> DataFrame:
     return sizes.where(enough).select("a", "b", "n_a", "n_b")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
     """``a, b`` of the pairs that are similar on their whole sets."""
-    asked = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = stored(_sets(docs.join(asked, "id", "left_semi"), near), "sets")
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("s")), "a"
-                      ).join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("t")), "b")
+    side = sets.select("id", "shingles")
+    both = pairs.join(side.select(F.col("id").alias("a"), F.col("shingles").alias("s")), "a"
+                      ).join(side.select(F.col("id").alias("b"), F.col("shingles").alias("t")), "b")
     shared = F.size(F.array_intersect("s", "t"))
     return both.where(_similar(shared, F.col("n_a"), F.col("n_b"), near)).select("a", "b")
 
 
+def _sets_of(asked: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
+    """Whole shingle sets of the documents with the asked ids."""
+    return stored(_sets(docs.join(asked.distinct(), "id", "left_semi"), near), "sets")
+
+
+def _whole_lists(sets: DataFrame, near: Near) -> DataFrame:
+    """``value, id, n, at``: inverted lists of the rarest values of whole sets.
+
+    A similar pair shares one of the ``n - ceil(similarity * n) + 1`` rarest values of either
+    side; a value that stands at place ``at`` from the rarest leaves at most ``n - at`` to share.
+    """
+    values = sets.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("value"))
+    counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    shared = values.join(counts, "value").groupBy("id", "n").agg(
+        F.sort_array(F.collect_list(F.struct("df", "value"))).alias("rare_first"))
+    own = F.col("n") - F.size("rare_first")
+    listed = F.col("n") - F.ceil(F.col("n") * near.percent / 100).cast("int") + 1 - own
+    return shared.where(listed > 0).select("id", "n", own.alias("own"), F.posexplode(
+        F.slice("rare_first", F.lit(1), listed)).alias("i", "r")).select(
+        F.col("r.value").alias("value"), "id", "n", (F.col("own") + F.col("i")).alias("at"))
+
+
+def _named(lists: DataFrame, grouped: DataFrame) -> DataFrame:
+    """Rows of the lists that hold several components, with the component of each row."""
+    named = lists.join(grouped.withColumnRenamed("node", "id"), "id", "left").withColumn(
+        "component", F.coalesce("component", "id"))
+    mixed = named.groupBy("value").agg(F.min("component").alias("lo"),
+                                       F.max("component").alias("hi")).where("lo < hi")
+    return named.join(mixed.select("value"), "value", "left_semi")
+
+
+def _across(left: DataFrame, right: DataFrame, near: Near) -> DataFrame:
+    """Distinct pairs ``a, b, n_a, n_b`` of rows that meet in a list, belong to different
+    components and can still be similar by their places in the list."""
+    a = left.select("value", *(F.col(c).alias(f"{c}_a") for c in ("id", "n", "at", "component")))
+    b = right.select("value", *(F.col(c).alias(f"{c}_b") for c in ("id", "n", "at", "component")))
+    most = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    met = a.join(b, "value").where("component_a <> component_b").where(
+        _similar(most, F.col("n_a"), F.col("n_b"), near))
+    first = F.col("id_a") < F.col("id_b")
+    return met.select(*(F.when(first, F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (
+        ("id_a", "id_b", "a"), ("id_b", "id_a", "b"), ("n_a", "n_b", "n_a"),
+        ("n_b", "n_a", "n_b")))).distinct()
+
+
 def _same_key(members: DataFrame) -> DataFrame:
     """Links ``a, b`` between a key that has several texts and the classes of those texts."""
     several = members.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
@@ -168,25 +214,28 @@ def near_groups(docs: DataFrame, near: Near = Near(), key: str = "doc_id",
     stars = lists.join(pivots, "value").select(
         F.col("p.id").alias("a"), F.col("id").alias("b"), F.col("p.n").alias("n_a"),
         F.col("n").alias("n_b")).where("a < b").where(_close_sizes(near)).distinct()
-    first = stored(_confirmed(stored(_estimated(stars, classes, near), "pairs"), rows, near), "links")
-    grouped = components(first)
+    pairs = stored(_estimated(stars, classes, near), "pairs")
+    sets = _sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), rows, near)
+    links = stored(_confirmed(pairs, sets, near), "links")
+
+    # what the stars left apart: lists on whole sets, once more a star, then all that is left
+    left = _named(lists, components(links)).select("id")
+    sets = _sets_of(left, rows, near)
+    lists = stored(_whole_lists(sets, near), "lists")
+    named = stored(_named(lists, components(links)), "lists")
+    pivots = named.groupBy("value").agg(F.min_by(
+        F.struct("id", "n", "at", "component"), F.struct("at", "id")).alias("p")).select(
+        "value", "p.*")
+    found = _confirmed(_across(pivots, named, near), sets, near)
+    links = stored(links.unionByName(found), "links")
+    named = stored(_named(lists, components(links)), "lists")
+    links = links.unionByName(_confirmed(
+        stored(_across(named, named.where("true"), near), "pairs"), sets, near))
 
-    named = lists.join(grouped.withColumnRenamed("node", "id"), "id", "left").withColumn(
-        "component", F.coalesce("component", "id"))
-    mixed = named.groupBy("value").agg(F.min("component").alias("lo"),
-                                       F.max("component").alias("hi")).where("lo < hi")
-    open_lists = stored(named.join(mixed.select("value"), "value", "left_semi"), "lists")
-    left = open_lists.select("value", F.col("id").alias("a"), F.col("n").alias("n_a"),
-                             F.col("component").alias("c"))
-    right = open_lists.select("value", F.col("id").alias("b"), F.col("n").alias("n_b"),
-                              F.col("component").alias("d"))
-    across = left.join(right, "value").where("a < b and c <> d").where(
-        _close_sizes(near)).select("a", "b", "n_a", "n_b").distinct()
-    second = _confirmed(stored(_estimated(across, classes, near), "pairs"), rows, near)
     members = stored(alive.select("id", "digest").distinct().join(
         classes.select("digest", F.col("id").alias("least")), "digest").select(
         "id", "least"), "members")
-    linked = components(first.unionByName(second).unionByName(_same_key(members)))
+    linked = components(links.unionByName(_same_key(members)))
 
     found = members.join(linked.withColumnRenamed("node", "least"), "least", "left").groupBy(
         "id").agg(F.min(F.coalesce("component", "least")).alias("component"))
