@@ -8,29 +8,76 @@ of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
-from tidemart.llm import packing, quality
+from tidemart.llm import leaks, near, packing, quality, repeats
 from tidemart.llm.common import stored, table
-from tidemart.llm.queries import vocabulary
+from tidemart.llm.queries import prepare, vocabulary
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
+    """Documents that pass the quality rules; null and empty texts do not."""
     return quality.keep_good(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates (five words, 0.8).
+
+    One row stays of rows that repeat an id; rows without an id stay.
+    """
+    groups = near.near_groups(docs)
+    kept = groups.where("kept and doc_id is not null").select("doc_id").distinct()
+    same = W.partitionBy("doc_id").orderBy(F.xxhash64(*_columns(docs)))
+    one = docs.join(kept, "doc_id", "left_semi").select(
+        F.struct(*_columns(docs)).alias("row"), F.row_number().over(same).alias("n")).where(
+        "n = 1").select("row.*")
+    return one.unionByName(docs.where("doc_id is null"))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the 50-byte strings that a document with a smaller id also has.
+
+    Null texts stay null; ``n_chars`` is that of the new text. All documents stay.
+    """
+    found = repeats.remove_repeats(docs, with_text=True).where(
+        "doc_id is not null and n_removed > 0").select(
+        "doc_id", "kept_text", "n_bytes").dropDuplicates(["doc_id", "n_bytes"])
+    changed = docs.select(F.struct(*_columns(docs)).alias("row"), F.col("doc_id"), F.octet_length(
+        "text").cast("long").alias("n_bytes")).join(found, ["doc_id", "n_bytes"], "left")
+    text = F.coalesce("kept_text", "row.text")
+    return changed.select(*(
+        text.alias(c) if c == "text"
+        else F.length(text).cast("long").alias(c) if c == "n_chars"
+        else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item; rows without an id are judged too."""
+    found = leaks.leaks(docs, table(spark, sf_dir, "benchmark")).select(
+        F.col("doc_id").alias("leaked")).distinct()
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("leaked")), "left_anti")
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents, packed into sequences of 2048 tokens."""
     return packing.pack(docs, vocabulary("word_bpe_49k.json"))
 
 
-STAGES = [("quality_rules", quality_rules), ("packing", pack)]
+def _columns(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
+STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates),
+          ("repeated_passages", repeated_passages), ("decontamination", decontamination),
+          ("packing", pack)]
 
-#: Near duplicates, suffix ranks and packing have no SQL twin; tests use brute force.
+#: Near duplicates, repeated passages, tiling and packing have no SQL twin; tests use brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)

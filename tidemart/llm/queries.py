@@ -8,7 +8,9 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import html, near, packing, quality, tokens, urls
+from tidemart.llm import (
+    html, leaks, licenses, lm, near, packing, quality, repeats, tokens, urls,
+)
 from tidemart.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -24,11 +26,15 @@ class Query:
 QUERIES: dict[str, Query] = {}
 
 
+def prepare(spark: SparkSession) -> None:
+    """Lets workers import this package from where the driver found it."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+
+
 def query(name: str, sql: str | None = None):
     def add(run: Run) -> Run:
         def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-            # workers import this package from where the driver found it
-            spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+            prepare(spark)
             return run(spark, sf_dir)
         QUERIES[name] = Query(prepared, sql)
         return prepared
@@ -42,6 +48,27 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_suffix_dedup")
+def _(spark, sf_dir):
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op2_decontamination")
+def _(spark, sf_dir):
+    return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_lm_scores")
+def _(spark, sf_dir):
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
+@query("op10_license_scan")
+def _(spark, sf_dir):
+    templates = spark.createDataFrame(licenses.TEMPLATES, licenses.TEMPLATE_COLUMNS)
+    return licenses.scan(table(spark, sf_dir, "documents"), templates)
+
+
 #: Rules (host, path, verdict) of the URL query. Fixed values.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
              ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
