@@ -1,6 +1,6 @@
 """Questions from blocks of documents to a table of keys that is spread over all tasks.
 
-Documents are dealt to blocks of a few MB. A block states each of its distinct keys once, as
+Documents are dealt to blocks of a few MB. A block states each of its distinct keys once (or once per value), as
 packed arrays, one row per bucket; a bucket holds all statements about its keys, reduces
 them, and answers each block with an array in the order it was asked. A key that a third of
 all documents hold is thus stated once per block, whatever its frequency.
@@ -40,8 +40,19 @@ def order_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.argsort(keys % np.uint64(buckets), kind="stable")
 
 
-def asked(block: int, keys: np.ndarray, values: np.ndarray, buckets: int) -> pa.Table:
-    """Rows of ``ASKED`` for distinct keys (uint64) and a value (any dtype) for each."""
+def _packed(keys: np.ndarray, width: int) -> bytes:
+    return np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def _unpacked(data: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), dtype=np.uint8)
+    out[:, :width] = np.frombuffer(data, dtype=np.uint8).reshape(-1, width)
+    return out.view(np.uint64).ravel()
+
+
+def asked(block: int, keys: np.ndarray, values: np.ndarray, buckets: int,
+          width: int = 8) -> pa.Table:
+    """Rows of ``ASKED`` for keys (uint64, of ``width`` bytes) and a value (any dtype) each."""
     order = order_of(keys, buckets)
     keys, values = keys[order], values[order]
     bucket, first = np.unique(keys % np.uint64(buckets), return_index=True)
@@ -50,16 +61,16 @@ def asked(block: int, keys: np.ndarray, values: np.ndarray, buckets: int) -> pa.
     return pa.table({
         "bucket": pa.array(bucket.astype(np.int64)),
         "block": pa.array(np.full(len(bucket), block, dtype=np.int64)),
-        "keys": pa.array([keys[c].tobytes() for c in cut], pa.binary()),
+        "keys": pa.array([_packed(keys[c], width) for c in cut], pa.binary()),
         "values": pa.array([values[c].tobytes() for c in cut], pa.binary())})
 
 
 def answer(requests: DataFrame, reduce: Callable[[np.ndarray, np.ndarray], np.ndarray],
-           dtype: np.dtype) -> DataFrame:
+           dtype: np.dtype, width: int = 8) -> DataFrame:
     """``ANSWERED`` rows. ``reduce`` takes the keys and values of a whole bucket, a key once
     per block that holds it, and returns an answer for each statement."""
     def run(table: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(k, dtype=np.uint64) for k in table["keys"].to_pylist()]
+        parts = [_unpacked(k, width) for k in table["keys"].to_pylist()]
         values = np.concatenate([np.frombuffer(v, dtype=dtype)
                                  for v in table["values"].to_pylist()])
         out = reduce(np.concatenate(parts), values)

@@ -4,7 +4,7 @@ A position's rank at length n names the n bytes that start there. Ranks double f
 4, ... 32 bytes within a task, where the text is; two overlapping ranks of 32 give the rank
 at the threshold of 50. Across documents only positions that can repeat are compared:
 
-1. Each window of 50 bytes has an anchor, the 16 bytes in it with the least rank; equal windows
+1. Each window of 50 bytes has an anchor, the 24 bytes in it with the least rank; equal windows
    have equal anchors. Runs of windows with the same anchor are compared as a whole: anchor
    and run (the ranks of its first and last window, which cover it) against all others. An
    anchor that comes once in the corpus is unique and drops out; a run that a smaller
@@ -29,12 +29,14 @@ from pyspark.sql import types as T
 
 from tidemart.llm import exchange
 
-_ANCHOR = 16
+_ANCHOR = 24
 _STEP = 1 << 19
 _C1, _C2, _C3 = (np.uint64(c) for c in (
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD))
 _AT = np.uint64((1 << 27) - 1)
-_RUN = np.dtype([("run", "<u8"), ("doc", "<i8")])
+#: Anchors and runs are compared across documents by 48 bits of their ranks.
+_WIDTH, _48 = 6, np.uint64((1 << 48) - 1)
+_RUN = np.dtype([("low", "<u4"), ("high", "<u2"), ("doc", "<i8")])
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -47,17 +49,18 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x
 
 
+_FIRST = _pair(np.arange(256, dtype=np.uint64), np.arange(1, 257, dtype=np.uint64))
+
+
 def _ranks(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Ranks at the anchor's length and at ``length`` bytes, by doubling."""
-    rank, n, anchor = _pair(data.astype(np.uint64), np.full(len(data), 1, np.uint64)), 1, None
+    rank, n, anchor = _FIRST[data], 1, None
     while 2 * n <= length:
+        if n <= _ANCHOR < 2 * n:
+            anchor = _pair(rank[:n - _ANCHOR], rank[_ANCHOR - n:])
         rank = _pair(rank[:-n], rank[n:])
         n *= 2
-        if n == _ANCHOR:
-            anchor = rank
-    if n < length:
-        rank = _pair(rank[:n - length], rank[length - n:])
-    return anchor, rank
+    return anchor, _pair(rank[:n - length], rank[length - n:]) if n < length else rank
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -74,6 +77,8 @@ class Block:
 
     def __init__(self, table: pa.Table, length: int):
         self.length = length
+        # in order of the keys, so that the first of equal runs has the smallest
+        table = table.sort_by("id")
         self.block = table["block"][0].as_py() if table.num_rows else 0
         self.ids = table["id"].to_numpy()
         texts = [t.encode() for t in table["text"].to_pylist()]
@@ -84,7 +89,7 @@ class Block:
         self._index()
 
     def _index(self) -> None:
-        doc, anchor, low, high, rank = [], [], [], [], []
+        doc, anchor, run, low, high, rank = [], [], [], [], [], []
         for a, b in exchange.chunks(self.sizes, _STEP):
             lo = self.starts[a]
             data = self.data[lo:self.starts[b - 1] + self.sizes[b - 1]]
@@ -102,26 +107,26 @@ class Block:
             first = np.flatnonzero(new)
             last = np.append(first[1:], len(p)) - 1
             doc.append(owner[p[first]])
-            anchor.append(short[place[p[first]]])
             offset = (place[p[first]] - p[first]).astype(np.uint64)
             low.append(p[first] + lo)
             high.append(p[last] + lo)
             rank.append(np.r_[whole, np.zeros(len(data) - len(whole), np.uint64)])
-            anchor[-1] = (anchor[-1], _pair(_pair(whole[p[first]], whole[p[last]]),
-                                            offset * _C1 + (p[last] - p[first]).astype(np.uint64)))
+            anchor.append(short[place[p[first]]] & _48)
+            run.append(_pair(_pair(whole[p[first]], whole[p[last]]), offset * _C1
+                             + (p[last] - p[first]).astype(np.uint64)) & _48)
         join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
         self.rank = join(rank, np.uint64)
         self.doc, self.low, self.high = (join(x, np.int64) for x in (doc, low, high))
-        self.anchor = join([x for x, _ in anchor], np.uint64)
-        self.run = join([x for _, x in anchor], np.uint64)
+        self.anchor, self.run = (join(x, np.uint64) for x in (anchor, run))
         self.holder = self.ids[self.doc] if len(self.doc) else np.empty(0, np.int64)
 
     def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of the distinct (anchor, run): index of the run with the smallest document, and
         for each run of the block its place among them and whether its document is larger."""
-        order = np.lexsort((self.holder, self.run, self.anchor))
-        a, r = self.anchor[order], self.run[order]
-        new = np.r_[True, (a[1:] != a[:-1]) | (r[1:] != r[:-1])] if len(order) else order > 0
+        both = _pair(self.anchor, self.run)
+        order = np.argsort(both, kind="stable")
+        both = both[order]
+        new = np.r_[True, both[1:] != both[:-1]] if len(order) else order > 0
         first = order[new]
         place = np.empty(len(order), dtype=np.int64)
         place[order] = np.cumsum(new) - 1
@@ -130,8 +135,10 @@ class Block:
     def ask_runs(self, buckets: int) -> pa.Table:
         first, _, _ = self.runs()
         values = np.empty(len(first), dtype=_RUN)
-        values["run"], values["doc"] = self.run[first], self.holder[first]
-        return exchange.asked(self.block, self.anchor[first], values, buckets)
+        values["low"] = self.run[first] & np.uint64(0xFFFFFFFF)
+        values["high"] = self.run[first] >> np.uint64(32)
+        values["doc"] = self.holder[first]
+        return exchange.asked(self.block, self.anchor[first], values, buckets, _WIDTH)
 
     def known(self, replies: pa.Table, buckets: int) -> tuple[np.ndarray, np.ndarray]:
         """Runs that a smaller document holds, and runs whose windows have to be asked."""
@@ -151,7 +158,7 @@ class Block:
         at = np.repeat(self.low[unsure], size) + step
         holder = np.repeat(self.holder[unsure], size)
         rank = self.rank[at]
-        order = np.lexsort((holder, rank))
+        order = np.argsort(rank, kind="stable")
         new = np.r_[True, np.diff(rank[order]) > 0] if len(order) else order > 0
         return at, holder, rank[order[new]], holder[order[new]]
 
@@ -177,8 +184,10 @@ class Block:
 
 def _judge_runs(anchors: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Per statement: bit 0 a smaller document holds the run, bit 1 the anchor has several."""
-    run, doc = values["run"], values["doc"]
-    order = np.lexsort((doc, run, anchors))
+    run, doc = values["low"] | values["high"].astype(np.uint64) << np.uint64(32), values["doc"]
+    order = np.argsort(doc, kind="stable")
+    order = order[np.argsort(_pair(anchors, run)[order], kind="stable")]
+    order = order[np.argsort(anchors[order], kind="stable")]
     a, r = anchors[order], run[order]
     new_anchor = np.r_[True, a[1:] != a[:-1]]
     new_run = new_anchor | np.r_[True, r[1:] != r[:-1]]
@@ -241,10 +250,10 @@ def remove_repeats(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
         kinds = [pa.int64()] * 3 + [pa.string()] * 2
         names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
         made = {c: pa.array(v, k) for c, v, k in zip(names, columns, kinds)}
-        return pa.table({"id": table["id"]} | {c: made[c] for c in names[:4 + with_text]})
+        return pa.table({"id": pa.array(block.ids)} | {c: made[c] for c in names[:4 + with_text]})
 
     by_block = rows.groupBy("block")
-    runs = exchange.answer(by_block.applyInArrow(first, exchange.ASKED), _judge_runs, _RUN)
+    runs = exchange.answer(by_block.applyInArrow(first, exchange.ASKED), _judge_runs, _RUN, _WIDTH)
     windows = exchange.answer(by_block.cogroup(runs.groupBy("block")).applyInArrow(
         second, exchange.ASKED), _least_holder, np.dtype(np.int64))
     both = runs.withColumn("round", F.lit(1)).unionByName(windows.withColumn("round", F.lit(2)))
