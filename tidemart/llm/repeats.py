@@ -175,8 +175,9 @@ class Block:
         np.add.at(edge, self.high[repeated] + self.length, -1)
         at, holder, keys, holders = self.windows(unsure)
         if len(at):
-            least = exchange.answers(windows, keys, buckets, np.int64)
-            found = at[least[np.searchsorted(keys, self.rank[at])] < holder]
+            smaller = exchange.answers(windows, keys, buckets, np.bool_)
+            place = np.searchsorted(keys, self.rank[at])
+            found = at[smaller[place] | (holders[place] < holder)]
             np.add.at(edge, found, 1)
             np.add.at(edge, found + self.length, -1)
         return np.cumsum(edge)[:-1] > 0
@@ -199,13 +200,15 @@ def _judge_runs(anchors: np.ndarray, values: np.ndarray) -> np.ndarray:
     return out
 
 
-def _least_holder(keys: np.ndarray, holders: np.ndarray) -> np.ndarray:
+def _smaller_elsewhere(keys: np.ndarray, holders: np.ndarray) -> np.ndarray:
+    """Per statement: another one names a smaller document for its key."""
     order = np.argsort(keys, kind="stable")
     k = keys[order]
     first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
-    least = np.minimum.reduceat(holders[order], first)
-    out = np.empty(len(keys), dtype=np.int64)
-    out[order] = np.repeat(least, np.diff(np.append(first, len(k))))
+    least = np.repeat(np.minimum.reduceat(holders[order], first),
+                      np.diff(np.append(first, len(k))))
+    out = np.empty(len(keys), dtype=np.bool_)
+    out[order] = least < holders[order]
     return out
 
 
@@ -255,7 +258,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
     by_block = rows.groupBy("block")
     runs = exchange.answer(by_block.applyInArrow(first, exchange.ASKED), _judge_runs, _RUN, _WIDTH)
     windows = exchange.answer(by_block.cogroup(runs.groupBy("block")).applyInArrow(
-        second, exchange.ASKED), _least_holder, np.dtype(np.int64))
+        second, exchange.ASKED), _smaller_elsewhere, np.dtype(np.int64))
     both = runs.withColumn("round", F.lit(1)).unionByName(windows.withColumn("round", F.lit(2)))
     schema = ("id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
               + ", kept_text string" * with_text)
