@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -30,6 +30,12 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+"), "")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often body uses it and wherever
+    the optimizer moves the expression."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def stored(frame: DataFrame, label: str = "llm") -> DataFrame:
     """The rows written below ``spark.checkpoint.dir`` and read back: computed once, without
     lineage, and whole when an executor is lost."""

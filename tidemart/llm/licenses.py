@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import ascii_lower, stored, words
+from tidemart.llm.common import ascii_lower, let, stored, words
 
 # Notices by licence.
 TEMPLATES = [
@@ -84,13 +84,14 @@ def scan(docs: DataFrame, templates: DataFrame, percent: int = 80, size: int = 3
     vocabulary = F.array(*(F.lit(r["s"]) for r in known.select(
         F.explode("t").alias("s")).distinct().collect())).cast("array<bigint>")
 
-    rows = docs.select(F.col(key).alias("id"), words(ascii_lower(F.col(text))).alias("w"))
-    shingled = rows.select("id", shingles(F.col("w"), size).alias("s")).where(
-        F.arrays_overlap("s", vocabulary))
-    cut = F.flatten(F.array(*(_windows(F.col("s"), c, size) for c in classes))) if classes else (
-        F.array().cast("array<struct<class:int,s:array<bigint>>>"))
-    windows = shingled.select("id", F.explode(F.filter(
-        cut, lambda x: F.arrays_overlap(x["s"], vocabulary))).alias("x")).select(
+    def cut(shingled: Column) -> Column:
+        found = F.flatten(F.array(*(_windows(shingled, c, size) for c in classes)))
+        return F.filter(found, lambda x: F.arrays_overlap(x["s"], vocabulary))
+
+    none = F.array().cast("array<struct<class:int,s:array<bigint>>>")
+    held = let(words(ascii_lower(F.col(text))), lambda w: let(shingles(w, size), lambda s: F.when(
+        F.arrays_overlap(s, vocabulary), cut(s)).otherwise(none))) if classes else none
+    windows = docs.select(F.col(key).alias("id"), F.explode(held).alias("x")).select(
         "id", F.col("x.class").alias("class"), F.array_distinct("x.s").alias("s")).distinct()
     asked = windows.select("id", "class", "s", F.explode(_bands("s", bands)).alias("b"))
     ready = known.select("license", "template_id", "class", "t",

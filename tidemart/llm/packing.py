@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from tidemart.llm.common import slices, stored
 
 #: Words remembered between batches, and the longest of them.
-_KEPT, _LONGEST = 200_000, 64
+_KEPT, _LONGEST = 300_000, 64
 #: Pieces of one length are ranked in groups of about this many.
 _GROUP = 250_000
 
@@ -43,19 +43,37 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        for probe in ("a b", "a\nb"):
-            if self._encode([probe])[0] != b"".join(self._encode(["a", "b"])):
-                raise ValueError(f"{path}: white space is part of its tokens")
         self.known: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+        for probe in ("a b", "A\nb,"):
+            if self._encode([probe]) != self.encode([probe]):
+                raise ValueError(f"{path}: not a vocabulary of lower-case words")
 
     def _encode(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    @staticmethod
+    def _stem(word: str) -> tuple[str, str]:
+        """A word in lower case and the full stop or comma after its last letter. A letter
+        and a mark are never in one token, and the vocabulary is in lower case."""
+        end = ""
+        if word[-1:] in (".", ",") and word[-2:-1].isalpha():
+            word, end = word[:-1], word[-1]
+        return (word.lower() if word.isascii() and "<|" not in word else word), end
+
+    def _learn(self, new: list[str]) -> None:
+        stems = [self._stem(w) for w in new]
+        missing = list({s for pair in stems for s in pair} - self.stems.keys())
+        self.stems.update(zip(missing, self._encode(missing)))
+        self.known.update((w, self.stems[s] + self.stems[end]) for w, (s, end) in zip(new, stems))
+        if len(self.stems) > _KEPT:
+            self.stems.clear()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [t.replace("\n", " ").split(" ") for t in texts]
         new = list({w for ws in words for w in ws} - self.known.keys())
-        self.known.update(zip(new, self._encode(new)))
+        self._learn(new)
         ids = [b"".join(map(self.known.__getitem__, ws)) for ws in words]
         if len(self.known) > _KEPT:
             self.known.clear()

@@ -13,7 +13,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import SPACES, words
+from tidemart.llm.common import SPACES, let, words
 
 #: Characters that count as symbols. Fixed values.
 SYMBOLS = "#*$%&|<>"
@@ -45,12 +45,6 @@ def n_dup_lines(text: Column) -> Column:
     return let(_lines(text), lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once, however often body uses it and wherever
-    the optimizer moves the expression."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def _covered(starts: Column) -> Column:
     """Words in windows of three words with the given sorted starts: a window adds three, or
     as many as its distance from the one before."""
