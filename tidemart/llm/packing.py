@@ -27,6 +27,8 @@ from tidemart.llm.common import slices, stored
 
 #: Words remembered between batches, and the longest of them.
 _KEPT, _LONGEST = 300_000, 64
+#: Words in one call of the tokenizer.
+_AT_ONCE = 500
 #: Pieces of one length are ranked in groups of about this many.
 _GROUP = 250_000
 
@@ -43,6 +45,9 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.is_end = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>")
+                                for i in range(size)])
         self.known: dict[str, bytes] = {}
         self.stems: dict[str, bytes] = {}
         for probe in ("a b", "A\nb,"):
@@ -53,6 +58,21 @@ class Ids:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _encode_letters(self, words: list[str]) -> list[bytes]:
+        """The same for words of letters alone, many in one call: each is one pre-token, and
+        ends at its only token with the mark for word ends."""
+        out: list[bytes] = []
+        for at in range(0, len(words), _AT_ONCE):
+            part = words[at:at + _AT_ONCE]
+            ids = np.frombuffer(self._encode([" ".join(part)])[0], dtype="<u4")
+            ends = np.flatnonzero(self.is_end[ids]) + 1
+            if len(ends) == len(part) and ends[-1:] == len(ids):
+                data, ends = ids.tobytes(), (4 * ends).tolist()
+                out += [data[a:b] for a, b in zip([0, *ends], ends)]
+            else:
+                out += self._encode(part)
+        return out
+
     @staticmethod
     def _stem(word: str) -> tuple[str, str]:
         """A word in lower case and the full stop or comma after its last letter. A letter
@@ -64,10 +84,13 @@ class Ids:
 
     def _learn(self, new: list[str]) -> None:
         stems = [self._stem(w) for w in new]
-        missing = list({s for pair in stems for s in pair} - self.stems.keys())
-        self.stems.update(zip(missing, self._encode(missing)))
+        missing = {s for pair in stems for s in pair} - self.stems.keys()
+        letters = [s for s in missing if s.isalpha()]
+        rest = [s for s in missing if not s.isalpha()]
+        self.stems.update(zip(letters, self._encode_letters(letters)))
+        self.stems.update(zip(rest, self._encode(rest)))
         self.known.update((w, self.stems[s] + self.stems[end]) for w, (s, end) in zip(new, stems))
-        if len(self.stems) > _KEPT:
+        if len(self.stems) > 2 * _KEPT:
             self.stems.clear()
 
     def encode(self, texts: list[str]) -> list[bytes]:
