@@ -8,7 +8,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemart.functions.numbers import amount, cents, mean_amount, ratio
+import pytest
+
+from tidemart.functions.numbers import amount, exact, mean_amount, ratio
 from tidemart.operators.clean import clean_live
 from tidemart.operators.dedup import latest_per_key
 from tidemart.operators.histogram import equal_width
@@ -122,13 +124,13 @@ def test_split_join_equals_plain_join_and_spreads_the_hot_key(spark):
 
 def test_money_is_exact_and_half_up(spark):
     df = spark.createDataFrame([(0.1,)] * 10 + [(0.2,)] * 10 + [(float("nan"),)], "x double")
-    total = F.sum(cents("x"))
-    out = df.agg(amount(total), mean_amount(total, F.count(cents("x"))), amount(total, 0)).first()
+    total = F.sum(exact("x"))
+    out = df.agg(amount(total), mean_amount(total, F.count(exact("x"))), amount(total, 0)).first()
     assert tuple(out) == (3.0, 0.15, 3.0)
     tie = spark.createDataFrame([(0.01,), (0.02,)], "x double")
-    assert tie.agg(mean_amount(F.sum(cents("x")), F.count("x"))).first()[0] == 0.02
+    assert tie.agg(mean_amount(F.sum(exact("x")), F.count("x"))).first()[0] == 0.02
     empty = df.where("x > 5 and x < 6").agg(
-        mean_amount(F.sum(cents("x")), F.count("x")), ratio(F.sum("x"), F.count("x"), 1)).first()
+        mean_amount(F.sum(exact("x")), F.count("x")), ratio(F.sum("x"), F.count("x"), 1)).first()
     assert tuple(empty) == (None, None)
 
 
@@ -138,3 +140,21 @@ def test_histogram_edges(spark):
     assert got == [(1, 0.0, 1), (10, 9.0, 2), (2, 1.0, 1)]
     same = spark.createDataFrame([(3.0,), (3.0,)], "x double").limit(5)
     assert rows(equal_width(same, "x", 10), "bin", "n") == [(1, 2)]
+
+
+def test_parts_of_a_cent_add_up(spark):
+    df = spark.createDataFrame([(0.004,)] * 1000, "x double")
+    assert df.agg(amount(F.sum(exact("x")))).first()[0] == 4.0
+
+
+def test_csv_files_with_other_headers_are_an_error(spark, tmp_path):
+    from tidemart.sources.csv import scan_csv
+    from tidemart.specs import REFERENCE_SPECS
+
+    spec = next(s for s in REFERENCE_SPECS.values() if len(s.columns) == 2)
+    a, b = spec.columns
+    (tmp_path / "1.csv").write_text(f"{a},{b}\nx,y\n")
+    assert scan_csv(spark, str(tmp_path), spec).count() == 1
+    (tmp_path / "2.csv").write_text(f"{b},{a}\ny,x\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_csv(spark, str(tmp_path), spec).collect()

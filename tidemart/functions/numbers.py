@@ -1,8 +1,8 @@
 """Money and rounding that give the same result in any row order.
 
 Adding doubles depends on the order in which tasks finish, and at 10^12 rows the
-error reaches the cents. Money is therefore added as whole cents (bigint): exact,
-repeatable after a task retry, and still a fixed-width hash-aggregate buffer.
+error reaches the cents. Money is therefore added as decimals with six places, exact and
+repeatable after a task retry, and rounded once, after the sum.
 """
 
 from __future__ import annotations
@@ -11,25 +11,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def cents(c: Column | str) -> Column:
-    """Whole cents; NaN and infinities count as NULL. ``rint`` stays in doubles, where
-    ``round`` would make a BigDecimal per row; amounts with two decimals have no ties."""
+def exact(c: Column | str) -> Column:
+    """A double as a decimal with six places, fit to be added up; NaN, infinities and
+    amounts of 10^12 or more count as NULL."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.rint(c * 100).try_cast("bigint")
+    return c.try_cast("decimal(18,6)")
 
 
-def amount(cent_total: Column, digits: int = 2) -> Column:
-    """Cents back to a double, half-up rounded to 2 (exact) or fewer digits."""
-    value = cent_total.cast("double") / F.lit(100.0)
-    return value if digits == 2 else F.round(value, digits)
+def amount(total: Column, digits: int = 2) -> Column:
+    """A sum of exact amounts as a double, half-up rounded."""
+    return F.round(total, digits).cast("double")
 
 
-def mean_amount(cent_total: Column, n: Column, digits: int = 2) -> Column:
-    """Half-up rounded mean of ``n`` amounts; NULL when there are none."""
-    mean = cent_total.cast("double") / F.nullif(n, F.lit(0))
-    if digits == 2:
-        return F.round(mean, 0) / F.lit(100.0)
-    return F.round(mean / F.lit(100.0), digits)
+def mean_amount(total: Column, n: Column, digits: int = 2) -> Column:
+    """Half-up rounded mean of ``n`` exact amounts; NULL when there are none."""
+    return F.round(total / F.nullif(n, F.lit(0)), digits).cast("double")
 
 
 def ratio(num: Column, den: Column, digits: int | None = None) -> Column:

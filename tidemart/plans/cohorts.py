@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.functions.numbers import amount, cents, ratio
+from tidemart.functions.numbers import amount, exact, ratio
 from tidemart.plans.gold import order_level
 
 
@@ -35,13 +35,19 @@ def retention(orders: DataFrame) -> DataFrame:
         "retention", F.col("active_customers") / F.col("cohort_size"))
 
 
-def retention_matrix(orders: DataFrame, months: int = 12) -> DataFrame:
-    """Active customers with one row per cohort and one column per month offset below
-    ``months``; 0 where nobody came back. The columns are given, so no job finds them."""
-    offsets = list(range(months))
-    wide = (retention(orders).where(F.col("month_offset") < months).groupBy("cohort")
-            .pivot("month_offset", offsets).agg(F.sum("active_customers")))
-    return wide.na.fill(0).select("cohort", *(F.col(f"`{m}`").alias(f"m{m}") for m in offsets))
+def retention_matrix(orders: DataFrame) -> DataFrame:
+    """Active customers for each cohort and every month offset that any cohort has; 0 where
+    nobody came back. Rows, not columns: no offset is cut off, and no job finds the columns.
+    Only counts per cohort and offset, months squared at most, meet in one window."""
+    active = retention(orders).select("cohort", "month_offset", "active_customers")
+    per_cohort = active.groupBy("cohort").agg(
+        F.map_from_entries(F.collect_list(F.struct("month_offset", "active_customers"))).alias("m"),
+        F.max("month_offset").alias("last"))
+    last = F.max("last").over(Window.partitionBy())
+    return per_cohort.withColumn("last", last).select("cohort", "m", F.explode(
+        F.sequence(F.lit(0), "last")).alias("month_offset")).select(
+        "cohort", "month_offset",
+        F.coalesce(F.try_element_at("m", "month_offset"), F.lit(0)).alias("active_customers"))
 
 
 def revenue(orders: DataFrame, items: DataFrame, payments: DataFrame,
@@ -49,11 +55,11 @@ def revenue(orders: DataFrame, items: DataFrame, payments: DataFrame,
     """Orders, item revenue, payments and mean review per cohort and month offset. Lines
     are summed per order before the join, so payments are counted once per order."""
     lines = items.groupBy("order_id").agg(
-        F.sum(cents(F.col("price") + F.col("freight_value"))).alias("spent"))
+        F.sum(exact(F.col("price") + F.col("freight_value"))).alias("spent"))
     per_order = order_level(orders, payments, reviews).join(lines, "order_id", "left")
     monthly = _months(
         per_order, F.sum("spent").alias("spent"),
-        F.sum(cents("payment_value")).alias("paid"),
+        F.sum(exact("payment_value")).alias("paid"),
         F.sum("review_score").alias("score"), F.count("review_score").alias("reviewed"))
     return monthly.groupBy("cohort", "month_offset").agg(
         F.sum("orders").alias("orders"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.numbers import amount, cents, mean, mean_amount
+from tidemart.functions.numbers import amount, exact, mean, mean_amount
 from tidemart.operators.skew import HotSlots, skew_safe_join
 
 
@@ -22,7 +22,7 @@ def dim_sellers(sellers: DataFrame, geolocation: DataFrame) -> DataFrame:
 
 def payments_per_order(payments: DataFrame) -> DataFrame:
     return payments.groupBy("order_id").agg(
-        amount(F.sum(cents("payment_value"))).alias("payment_value"),
+        amount(F.sum(exact("payment_value"))).alias("payment_value"),
         F.max("payment_type").alias("payment_type"),
         F.avg("payment_installments").alias("avg_installments"))
 
@@ -79,9 +79,9 @@ def fact_order_items(orders: DataFrame, items: DataFrame, payments: DataFrame,
 def order_summary(fact: DataFrame) -> DataFrame:
     return fact.groupBy("order_id").agg(
         F.count("order_item_id").alias("total_items"),
-        amount(F.sum(cents("price"))).alias("total_price"),
-        amount(F.sum(cents("freight_value"))).alias("total_freight"),
-        amount(F.sum(cents("total_amount"))).alias("total_amount"),
+        amount(F.sum(exact("price"))).alias("total_price"),
+        amount(F.sum(exact("freight_value"))).alias("total_freight"),
+        amount(F.sum(exact("total_amount"))).alias("total_amount"),
         F.max("order_status").alias("order_status"),
         F.min("purchase_timestamp").alias("purchase_date"),
         F.max("delivered_date").alias("delivered_date"),
@@ -91,7 +91,7 @@ def order_summary(fact: DataFrame) -> DataFrame:
 def customer_metrics(fact: DataFrame) -> DataFrame:
     """Lifetime value. ``avg_order_value`` is the mean per order line, as published; see
     ``order_value_per_customer`` for the mean per order."""
-    spent = cents("total_amount")
+    spent = exact("total_amount")
     return fact.groupBy("customer_id").agg(
         F.count_distinct("order_id").alias("total_orders"),
         amount(F.sum(spent)).alias("total_spent"),
@@ -102,7 +102,7 @@ def customer_metrics(fact: DataFrame) -> DataFrame:
 
 def order_value_per_customer(fact: DataFrame) -> DataFrame:
     """Spend divided by distinct orders: the average value of an order."""
-    spent = cents("total_amount")
+    spent = exact("total_amount")
     return fact.groupBy("customer_id").agg(
         mean_amount(F.sum(spent), F.count_distinct("order_id")).alias("avg_per_order"))
 
@@ -111,7 +111,7 @@ def seller_performance(fact: DataFrame) -> DataFrame:
     """Undelivered lines (NULL flags) count neither as on time nor as late."""
     return fact.groupBy("seller_id").agg(
         F.count_distinct("order_id").alias("total_orders"),
-        amount(F.sum(cents("price"))).alias("total_revenue"),
+        amount(F.sum(exact("price"))).alias("total_revenue"),
         mean("review_score", 2).alias("avg_review_score"),
         F.round(F.sum("on_time_flag") * F.lit(100.0)
                 / F.nullif(F.count("on_time_flag"), F.lit(0)), 1).alias("on_time_delivery_rate"),
@@ -119,7 +119,7 @@ def seller_performance(fact: DataFrame) -> DataFrame:
 
 
 def product_performance(fact: DataFrame) -> DataFrame:
-    price = cents("price")
+    price = exact("price")
     return fact.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("total_quantity"),
         amount(F.sum(price)).alias("total_sales"),
@@ -130,7 +130,7 @@ def product_performance(fact: DataFrame) -> DataFrame:
 def unmatched_customers(fact: DataFrame, customers: DataFrame) -> DataFrame:
     """Customers with sales but without a dimension row: inner joins drop these sales.
     The fact is reduced to one row per customer before the join."""
-    spent = cents("total_amount")
+    spent = exact("total_amount")
     sales = fact.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("lines"), amount(F.sum(spent)).alias("lost_revenue"))
     return sales.join(customers.select("customer_id"), "customer_id", "left_anti")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemart.functions.numbers import amount, cents, mean, mean_amount, ratio
+from tidemart.functions.numbers import amount, exact, mean, mean_amount, ratio
 from tidemart.functions.text import mask_id
 from tidemart.operators.histogram import equal_width
 
@@ -26,7 +26,7 @@ def review_range(fact: DataFrame, low: int = 1, high: int = 5) -> DataFrame:
 
 def per_customer(fact: DataFrame) -> DataFrame:
     """Additive measures per customer; unused ones are pruned by the optimizer."""
-    spent = cents("total_amount")
+    spent = exact("total_amount")
     return fact.groupBy("customer_id").agg(
         F.count_distinct("order_id").alias("orders"),
         F.count(F.lit(1)).alias("lines"),
@@ -85,7 +85,7 @@ def revenue_by_status(orders: DataFrame, status: str | None = None) -> DataFrame
     row per status."""
     if status is not None:
         orders = orders.where(F.col("order_status") == F.lit(status))
-    grouped = orders.groupBy("order_status").agg(F.sum(cents("total_amount")).alias("spent"))
+    grouped = orders.groupBy("order_status").agg(F.sum(exact("total_amount")).alias("spent"))
     everything = Window.partitionBy()
     return grouped.select(
         "order_status", amount(F.col("spent"), 0).alias("revenue"),
@@ -97,7 +97,7 @@ def monthly_revenue(fact: DataFrame, limit: int = 24) -> DataFrame:
     return (fact.where("purchase_timestamp is not null")
             .groupBy(F.date_trunc("month", "purchase_timestamp").alias("month"))
             .agg(F.count_distinct("order_id").alias("orders"),
-                 amount(F.sum(cents("total_amount")), 0).alias("revenue"))
+                 amount(F.sum(exact("total_amount")), 0).alias("revenue"))
             .orderBy("month").limit(limit))
 
 
@@ -208,7 +208,7 @@ def category_performance(products: DataFrame, dim_products: DataFrame,
     """Sales per category. The averages are unweighted means of the product means."""
     joined = products.join(dim_products.select("product_id", "product_category_name_english"),
                            "product_id")
-    sales, price = cents("total_sales"), cents("avg_price")
+    sales, price = exact("total_sales"), exact("avg_price")
     return (joined.groupBy(F.coalesce("product_category_name_english", F.lit("Unknown"))
                            .alias("category"))
             .agg(amount(F.sum(sales), 0).alias("total_sales"),
@@ -243,7 +243,7 @@ def delivery_delay(orders: DataFrame) -> DataFrame:
 
 def lifetime_value(fact: DataFrame) -> DataFrame:
     return fact.groupBy("customer_id").agg(
-        amount(F.sum(cents("total_amount"))).alias("clv"))
+        amount(F.sum(exact("total_amount"))).alias("clv"))
 
 
 def revenue_by_state_simple(fact: DataFrame, customers: DataFrame) -> DataFrame:
@@ -268,10 +268,10 @@ def run_sql(spark: SparkSession, text: str, args: dict | None = None,
 
 STATE_REVENUE_SQL = """
 SELECT c.customer_state AS state,
-       round(sum(m.spent) / 100.0D, 0) AS revenue,
+       cast(round(sum(m.spent), 0) AS double) AS revenue,
        sum(m.orders) AS orders
 FROM (SELECT customer_id, count(DISTINCT order_id) AS orders,
-             sum(try_cast(rint(total_amount * 100) AS bigint)) AS spent
+             sum(try_cast(total_amount AS decimal(18,6))) AS spent
       FROM {fact}
       WHERE review_score BETWEEN :low AND :high
       GROUP BY customer_id) m
@@ -284,7 +284,7 @@ LIMIT 15
 
 STATUS_REVENUE_SQL = """
 SELECT order_status,
-       round(sum(try_cast(rint(total_amount * 100) AS bigint)) / 100.0D, 0) AS revenue
+       cast(round(sum(try_cast(total_amount AS decimal(18,6))), 0) AS double) AS revenue
 FROM {order_summary}
 WHERE :status IS NULL OR order_status = :status
 GROUP BY order_status

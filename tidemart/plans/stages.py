@@ -149,7 +149,7 @@ def run_silver(lake: Lake, batch: str) -> StageResult:
         unique = spec.unique_keys == spec.merge_keys
         if batch == "1":
             return lake.silver(name).overwrite(rows, by_key=unique)
-        return lake.silver(name).upsert(rows, unique=unique,
+        return lake.silver(name).upsert(rows, spec.version, unique=unique,
                                         key_rows=apply_rules(raw, spec.rules))
 
     first = {n: partial(transactional, n, s) for n, s in lake.transactional.items()

@@ -12,9 +12,11 @@ from tidemart.specs import TableSpec
 def scan_csv(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     """Read by header name; columns the spec does not know are kept as text.
 
-    ``path`` may be a file, a folder or a glob.
+    ``path`` may be a file, a folder or a glob. Files of one call share a header: one with
+    other columns, or in another order, is an error and never read by position.
     """
-    df = (spark.read.option("header", True).options(**spec.csv_options).csv(path))
+    df = (spark.read.option("header", True).option("enforceSchema", False)
+          .options(**spec.csv_options).csv(path))
     missing = {c.lower() for c in spec.columns} - {c.lower() for c in df.columns}
     if missing:
         raise ValueError(f"{path}: columns missing from the header: {sorted(missing)}")

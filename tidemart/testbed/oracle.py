@@ -1,6 +1,6 @@
 """SQL twins of the queries, for an independent engine.
 
-Rounding is done in whole numbers so that both engines agree on ties: money in cents,
+Rounding is done in whole numbers so that both engines agree on ties: money in millionths,
 review scores in halves (an order has at most two reviews in the test data).
 """
 
@@ -15,6 +15,10 @@ def cents(x: str) -> str:
     return f"cast(round(({x}) * 100) AS bigint)"
 
 
+def millionths(x: str) -> str:
+    return f"cast(round(({x}) * 1000000) AS hugeint)"
+
+
 def half_up(num: str, den: str, digits: int) -> str:
     """round(num / den, digits) for non-negative whole numbers, as double."""
     scale = 10 ** digits
@@ -24,12 +28,11 @@ def half_up(num: str, den: str, digits: int) -> str:
 
 def money(x: str, digits: int = 2) -> str:
     """Sum of amounts, half-up rounded."""
-    total = f"sum({cents(x)})"
-    return f"cast({total} AS double) / 100.0" if digits == 2 else half_up(total, "100", digits)
+    return half_up(f"sum({millionths(x)})", "1000000", digits)
 
 
 def money_mean(x: str, digits: int = 2) -> str:
-    return half_up(f"sum({cents(x)})", f"100 * count({x})", digits)
+    return half_up(f"sum({millionths(x)})", f"1000000 * count({x})", digits)
 
 
 def score_mean(x: str, digits: int) -> str:
@@ -197,7 +200,7 @@ CTES |= {
                date_trunc('month', o.order_purchase_timestamp) AS month,
                l.spent, {cents('pay.payment_value')} AS paid, rev.review_score
         FROM s_orders o
-        LEFT JOIN (SELECT order_id, sum({cents('price + freight_value')}) AS spent
+        LEFT JOIN (SELECT order_id, sum({millionths('price + freight_value')}) AS spent
                    FROM s_items GROUP BY 1) l ON o.order_id = l.order_id
         LEFT JOIN pay ON o.order_id = pay.order_id
         LEFT JOIN rev ON o.order_id = rev.order_id""",

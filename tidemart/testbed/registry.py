@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemart.functions.numbers import amount, exact
 from tidemart.functions.rules import apply_rules
 from tidemart.functions.text import mask_id
 from tidemart.operators.clean import clean, clean_live
@@ -33,7 +34,7 @@ from tidemart.streaming.live import run_live
 from tidemart.testbed.bindings import SPECS, Retail
 from tidemart.testbed.oracle import compose, half_up, money, money_mean, percent, score_mean
 from tidemart.testbed.oracle import cents as cents_sql
-from tidemart.testbed.oracle import int_mean
+from tidemart.testbed.oracle import int_mean, millionths
 
 
 @dataclass(frozen=True)
@@ -497,8 +498,8 @@ query("customer_metrics", "SELECT * FROM cust")(lambda r: r.customer_metrics)
 query("seller_performance", "SELECT * FROM sell")(lambda r: r.seller_performance)
 query("product_performance", "SELECT * FROM prod")(lambda r: r.product_performance)
 query("order_value_per_customer", f"""
-    SELECT customer_id, {half_up(f"sum({cents_sql('total_amount')})",
-                                 "100 * count(DISTINCT order_id)", 2)} AS avg_per_order
+    SELECT customer_id, {half_up(f"sum({millionths('total_amount')})",
+                                 "1000000 * count(DISTINCT order_id)", 2)} AS avg_per_order
     FROM fact GROUP BY 1""")(lambda r: gold.order_value_per_customer(r.fact))
 
 
@@ -636,12 +637,30 @@ query("cohort_retention", """
     JOIN (SELECT cohort, count(DISTINCT customer_id) AS cohort_size
           FROM cohort_rows GROUP BY 1) USING (cohort)""")(
     lambda r: cohorts.retention(r.silver("orders")))
-query("cohort_matrix", "SELECT cast(cohort AS timestamp) AS cohort, " + ", ".join(
-    f"count(DISTINCT customer_id) FILTER (month_offset = {m}) AS m{m}" for m in range(12))
-    + " FROM cohort_rows GROUP BY 1")(lambda r: cohorts.retention_matrix(r.silver("orders")))
+query("cohort_matrix", """
+    SELECT cast(cohort AS timestamp) AS cohort, cast(o AS int) AS month_offset,
+           count(DISTINCT customer_id) AS active_customers
+    FROM (SELECT DISTINCT cohort FROM cohort_rows)
+    CROSS JOIN (SELECT unnest(generate_series(0, max(month_offset))) AS o FROM cohort_rows)
+    LEFT JOIN cohort_rows r USING (cohort)
+    WHERE r.month_offset = o GROUP BY 1, 2
+    UNION ALL
+    SELECT cast(cohort AS timestamp), cast(o AS int), 0
+    FROM (SELECT DISTINCT cohort FROM cohort_rows)
+    CROSS JOIN (SELECT unnest(generate_series(0, max(month_offset))) AS o FROM cohort_rows)
+    WHERE (cohort, o) NOT IN (SELECT (cohort, month_offset) FROM cohort_rows)""")(
+    lambda r: cohorts.retention_matrix(r.silver("orders")))
+query("money_subcent", """
+    SELECT l_returnflag, cast(count(*) AS bigint) AS n,
+           cast(sum(cast(l_extendedprice * l_discount / 1000 AS decimal(18,6))) AS decimal(18,2))
+               ::double AS total
+    FROM lineitem GROUP BY 1""")(
+    lambda r: r.spark.read.parquet(f"{r.sf_dir}/lineitem.parquet").groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), amount(F.sum(exact(
+            F.col("l_extendedprice") * F.col("l_discount") / 1000))).alias("total")))
 query("cohort_revenue", f"""
     SELECT cast(cohort AS timestamp) AS cohort, cast(month_offset AS int) AS month_offset,
-           count(*) AS orders, cast(sum(spent) AS double) / 100.0 AS revenue,
+           count(*) AS orders, {half_up('sum(spent)', '1000000', 2)} AS revenue,
            cast(sum(paid) AS double) / 100.0 AS paid,
            {score_mean('review_score', 2)} AS avg_review
     FROM cohort_rows GROUP BY 1, 2""")(
