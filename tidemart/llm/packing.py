@@ -14,6 +14,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
 from functools import cache
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -83,19 +84,20 @@ class Ids:
         return (word.lower() if word.isascii() and "<|" not in word else word), end
 
     def _learn(self, new: list[str]) -> None:
-        stems = [self._stem(w) for w in new]
-        missing = {s for pair in stems for s in pair} - self.stems.keys()
+        stems, ends = zip(*map(self._stem, new)) if new else ((), ())
+        missing = set(stems).union(ends).difference(self.stems)
         letters = [s for s in missing if s.isalpha()]
         rest = [s for s in missing if not s.isalpha()]
         self.stems.update(zip(letters, self._encode_letters(letters)))
         self.stems.update(zip(rest, self._encode(rest)))
-        self.known.update((w, self.stems[s] + self.stems[end]) for w, (s, end) in zip(new, stems))
+        get = self.stems.__getitem__
+        self.known.update(zip(new, map(add, map(get, stems), map(get, ends))))
         if len(self.stems) > 2 * _KEPT:
             self.stems.clear()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({w for ws in words for w in ws} - self.known.keys())
+        new = list(set().union(*words).difference(self.known))
         self._learn(new)
         ids = [b"".join(map(self.known.__getitem__, ws)) for ws in words]
         if len(self.known) > _KEPT:

@@ -119,7 +119,7 @@ class Merges:
             parts = self.special.split(text) if self.special else [text]
             total.append(len(parts) - 1)
             pieces.append([c for p in parts for c in _CHUNK.findall(p)])
-        new = {c for chunks in pieces for c in chunks} - self.known.keys()
+        new = set().union(*pieces).difference(self.known)
         self.learn(new)
         total = [n + sum(map(self.known.__getitem__, chunks))
                  for n, chunks in zip(total, pieces)]
