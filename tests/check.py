@@ -13,7 +13,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import __spark_entry__ as contract  # noqa: E402
 from tidemart.session import build_session  # noqa: E402
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def plain(value):
