@@ -25,25 +25,28 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return moved.where("u > v").distinct()
 
 
+def _settled(links: DataFrame) -> bool:
+    """Whether each node hangs on one other node at most, and those hang on none."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")
+                        ).unionByName(links.select("v", F.lit(0), F.lit(1)).toDF(
+                            "node", "hangs", "holds"))
+    odd = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return odd.where("hangs + holds > 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` for each node with a link; the component is its smallest node.
 
     ``links`` has two columns of node ids, in any order and direction; links of a node with
     itself and repeated links do no harm. Rounds are written to the shared folder, so no
-    lineage grows; only a count and a sum per round reach the driver. The number of rounds
-    grows with the logarithm of the longest chain, and the neighbours of a node are never
-    gathered in one place.
+    lineage grows; a round ends with the question whether each node hangs on its component.
+    The number of rounds grows with the logarithm of the longest chain, and the neighbours of
+    a node are never gathered in one place.
     """
     a, b = links.columns
     now = stored(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
                  .where("u > v").distinct(), "links")
-    mark = F.struct(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
-    state = now.agg(mark).first()[0]
-    while state[0]:
+    while not _settled(now):
         now = stored(_star(_star(now, large=True), large=False), "links")
-        after = now.agg(mark).first()[0]
-        if after == state:
-            break
-        state = after
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -219,17 +219,19 @@ def near_groups(docs: DataFrame, near: Near = Near(), key: str = "doc_id",
     links = stored(_confirmed(pairs, sets, near), "links")
 
     # what the stars left apart: lists on whole sets, once more a star, then all that is left
-    left = _named(lists, components(links)).select("id")
+    grouped = components(links)
+    left = _named(lists, grouped).select("id")
     sets = _sets_of(left, rows, near)
     lists = stored(_whole_lists(sets, near), "lists")
-    named = stored(_named(lists, components(links)), "lists")
+    named = stored(_named(lists, grouped), "lists")
     pivots = named.groupBy("value").agg(F.min_by(
         F.struct("id", "n", "at", "component"), F.struct("at", "id")).alias("p")).select(
         "value", "p.*")
     found = _confirmed(_across(pivots, named, near), sets, near)
-    links = stored(links.unionByName(found), "links")
-    named = stored(_named(lists, components(links)), "lists")
-    links = links.unionByName(_confirmed(
+    # components stand in for the links that made them
+    grouped = components(grouped.toDF("a", "b").unionByName(found))
+    named = stored(_named(lists, grouped), "lists")
+    links = grouped.toDF("a", "b").unionByName(_confirmed(
         stored(_across(named, named.where("true"), near), "pairs"), sets, near))
 
     members = stored(alive.select("id", "digest").distinct().join(
