@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemart.llm import leaks, near, packing, quality, repeats
-from tidemart.llm.common import stored, table
+from tidemart.llm.common import stored, table, text_digest
 from tidemart.llm.queries import prepare, vocabulary
 
 
@@ -22,16 +22,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates (five words, 0.8).
+    """Of each group of near duplicates (five words, 0.8) the text with the smallest id.
 
-    One row stays of rows that repeat an id; rows without an id stay.
+    Texts are linked by similarity alone: an id that comes with several texts keeps each that
+    is like nothing kept. One row stays of rows that repeat an id and text; rows without an
+    id stay.
     """
-    groups = near.near_groups(docs)
-    kept = groups.where("kept and doc_id is not null").select("doc_id").distinct()
-    same = W.partitionBy("doc_id").orderBy(F.xxhash64(*_columns(docs)))
-    one = docs.join(kept, "doc_id", "left_semi").select(
-        F.struct(*_columns(docs)).alias("row"), F.row_number().over(same).alias("n")).where(
-        "n = 1").select("row.*")
+    rows = docs.select(F.struct(*_columns(docs)).alias("row"), "doc_id",
+                       text_digest("text").alias("text_digest"))
+    same = W.partitionBy("doc_id", "text_digest").orderBy(F.xxhash64("row"))
+    one = rows.join(near.kept_texts(docs), ["doc_id", "text_digest"], "left_semi").select(
+        "row", F.row_number().over(same).alias("n")).where("n = 1").select("row.*")
     return one.unionByName(docs.where("doc_id is null"))
 
 
@@ -42,9 +43,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     found = repeats.remove_repeats(docs, with_text=True).where(
         "doc_id is not null and n_removed > 0").select(
-        "doc_id", "kept_text", "n_bytes").dropDuplicates(["doc_id", "n_bytes"])
-    changed = docs.select(F.struct(*_columns(docs)).alias("row"), F.col("doc_id"), F.octet_length(
-        "text").cast("long").alias("n_bytes")).join(found, ["doc_id", "n_bytes"], "left")
+        "doc_id", "text_digest", "kept_text").dropDuplicates(["doc_id", "text_digest"])
+    changed = docs.select(F.struct(*_columns(docs)).alias("row"), "doc_id", text_digest(
+        "text").alias("text_digest")).join(found, ["doc_id", "text_digest"], "left")
     text = F.coalesce("kept_text", "row.text")
     return changed.select(*(
         text.alias(c) if c == "text"

@@ -197,6 +197,30 @@ def test_pipeline(spark, tmp_path):
     assert pipeline.STAGES[-1][1](spark, now, "").count() == packed.count()
 
 
+def test_one_id_over_many_texts(spark, tmp_path):
+    import corpus_pipeline as pipeline
+
+    r = random.Random(9)
+    some = lambda n: " ".join(f"t{r.randrange(5000)}" for _ in range(n))
+    hot = [some(80) for _ in range(40)]
+    a, b, passage = some(100), some(100), some(60)
+    pairs = [(7, t) for t in hot] + [(1, a), (2, a), (2, b), (3, b + " more"), (7, hot[3]),
+                                     (8, hot[5] + " more"), (6, hot[6])]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in pairs],
+                                 "doc_id long, text string, n_chars long")
+    got = sorted((x.doc_id, x.text) for x in pipeline.near_duplicates(spark, docs, "").collect())
+    assert got == sorted([(7, t) for t in hot if t != hot[6]] + [(1, a), (2, b), (6, hot[6])])
+
+    # two texts of one id, equally long: each loses its own part
+    tails = [some(100)[:400], some(100)[:400]]
+    rows = [(1, passage + some(60)), (2, tails[0] + passage), (2, passage + tails[1]), (2, None)]
+    docs = spark.createDataFrame([(i, t, len(t or "")) for i, t in rows],
+                                 "doc_id long, text string, n_chars long")
+    got = {x.text for x in pipeline.repeated_passages(spark, docs, "").collect()}
+    assert len(rows[1][1]) == len(rows[2][1]) and len(got) == 4 and None in got
+    assert all(any(t and tail[10:-10] in t for t in got) for tail in tails)
+
+
 def test_words_are_split_at_ascii_space(spark):
     df = spark.createDataFrame([(" a\tb c \x0b\x1cd ",), (None,)], "t string")
     assert [r[0] for r in df.select(words(df.t)).collect()] == [["a", "b c", "\x1cd"], []]

@@ -84,3 +84,13 @@ def test_components_of_a_long_chain_and_a_star(spark):
     found = {r.node: r.component for r in components(
         spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {i: 100 for i in range(100, 161)} | {i: 7 for i in [7, *range(200, 260)]}
+
+
+def test_an_id_with_many_texts_does_not_mix_them_up(frame):
+    words = [f"w{i}" for i in range(60)]
+    # an id's short text is in its long one, and like the short text of another id
+    short, long = " ".join(words[:12]), " ".join(words)
+    other = " ".join(words[:12] + ["x"] * 2 + words[30:50])
+    got = near_groups(frame([(1, long), (2, short), (2, other), (3, short + " end")]),
+                      Near(words=1, percent=85)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (2, 2), (2, 2), (3, 2)]

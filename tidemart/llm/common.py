@@ -30,6 +30,11 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+"), "")
 
 
+def text_digest(text: Column | str) -> Column:
+    """128-bit digest of a text; empty for null."""
+    return F.unhex(F.coalesce(F.md5(text), F.lit("")))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, however often body uses it and wherever
     the optimizer moves the expression."""

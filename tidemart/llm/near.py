@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.llm.common import slices, stored
+from tidemart.llm.common import slices, stored, text_digest
 from tidemart.llm.components import components
 
 
@@ -66,14 +66,14 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
 
 
 def _signatures(docs: DataFrame, near: Near) -> DataFrame:
-    schema = T.StructType([docs.schema["id"], *T._parse_datatype_string(
+    schema = T.StructType([*docs.select("id", "text_digest").schema, *T._parse_datatype_string(
         "n long, digest binary, sketch array<bigint>").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1):
-            sets = [shingle_set(t, near.words) for t in batch.column(1).to_pylist()]
+        for batch in slices(batches, 2):
+            sets = [shingle_set(t, near.words) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                 pa.array([s[:near.k] for s in sets], pa.list_(pa.int64()))],
                 names=schema.names)
@@ -82,11 +82,19 @@ def _signatures(docs: DataFrame, near: Near) -> DataFrame:
 
 
 def _sets(docs: DataFrame, near: Near) -> DataFrame:
+    """Whole shingle sets; rows that repeat an id within a task are left out."""
     schema = T.StructType([docs.schema["id"], *T._parse_datatype_string(
         "shingles array<bigint>").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in slices(batches, 1):
+            new = []
+            for at, i in enumerate(batch.column(0).to_pylist()):
+                if i not in seen:
+                    seen.add(i)
+                    new.append(at)
+            batch = batch.take(pa.array(new, pa.int32()))
             sets = [shingle_set(t, near.words) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=schema.names)
@@ -140,9 +148,14 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
     return both.where(_similar(shared, F.col("n_a"), F.col("n_b"), near)).select("a", "b")
 
 
-def _sets_of(asked: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
-    """Whole shingle sets of the documents with the asked ids."""
-    return stored(_sets(docs.join(asked.distinct(), "id", "left_semi"), near), "sets")
+def _sets_of(asked: DataFrame, classes: DataFrame, rows: DataFrame, near: Near) -> DataFrame:
+    """Whole shingle sets of the asked classes, each from a row that stands for it. Rows that
+    repeat this id and text may give a set once more in another task."""
+    first = classes.join(asked.distinct(), "id", "left_semi").select(
+        F.col("id").alias("class"), F.col("first.id").alias("id"),
+        F.col("first.text_digest").alias("text_digest"))
+    return stored(_sets(rows.join(first, ["id", "text_digest"]).select(
+        F.col("class").alias("id"), "text"), near), "sets")
 
 
 def _whole_lists(sets: DataFrame, near: Near) -> DataFrame:
@@ -151,7 +164,8 @@ def _whole_lists(sets: DataFrame, near: Near) -> DataFrame:
     A similar pair shares one of the ``n - ceil(similarity * n) + 1`` rarest values of either
     side; a value that stands at place ``at`` from the rarest leaves at most ``n - at`` to share.
     """
-    values = sets.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("value"))
+    values = sets.dropDuplicates(["id"]).select(
+        "id", F.size("shingles").alias("n"), F.explode("shingles").alias("value"))
     counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = values.join(counts, "value").groupBy("id", "n").agg(
         F.sort_array(F.collect_list(F.struct("df", "value"))).alias("rare_first"))
@@ -186,28 +200,27 @@ def _across(left: DataFrame, right: DataFrame, near: Near) -> DataFrame:
 
 
 def _same_key(members: DataFrame) -> DataFrame:
-    """Links ``a, b`` between a key that has several texts and the classes of those texts."""
+    """Links ``a, b`` between a key that has texts in several components and the least keys
+    of those components."""
     several = members.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     return members.join(several.select("id"), "id", "left_semi").select(
         F.col("id").alias("a"), F.col("least").alias("b"))
 
 
-def near_groups(docs: DataFrame, near: Near = Near(), key: str = "doc_id",
-                text: str = "text") -> DataFrame:
-    """``key, n_shingles, component_id, kept`` for each row of ``docs``.
-
-    ``component_id`` is the smallest key reachable by links, ``kept`` whether that is the
-    row's own. Documents without words are linked with nothing. Rows that repeat a key count
-    as one document when their texts are equal; with different texts they are linked through
-    the key they share. A row with a null key is linked with nothing: its component is null
-    and it is kept. Shingles are compared by 64-bit hashes.
-    """
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+def _linked_texts(docs: DataFrame, near: Near, key: str, text: str
+                  ) -> tuple[DataFrame, DataFrame]:
+    """``id, text_digest, n, digest, sketch`` of each row, and ``id, text_digest, component`` of
+    each distinct id and text that has an id and words. Texts are linked by similarity alone:
+    rows are told apart by id and text digest, and classes of equal sets have numbers of
+    their own, so an id that is repeated with other texts links nothing."""
+    rows = docs.select(F.col(key).alias("id"), text_digest(text).alias("text_digest"),
+                       F.col(text).alias("text"))
     signed = stored(_signatures(rows, near), "sketches")
     alive = signed.where("id is not null and n > 0")
     classes = stored(alive.groupBy("digest").agg(
-        F.min("id").alias("id"), F.any_value("n").alias("n"),
-        F.any_value("sketch").alias("sketch")), "classes")
+        F.min(F.struct("id", "text_digest")).alias("first"), F.any_value("n").alias("n"),
+        F.any_value("sketch").alias("sketch")).withColumn(
+        "id", F.monotonically_increasing_id()), "classes")
 
     lists = stored(_lists(classes, near), "lists")
     pivots = lists.groupBy("value").agg(F.min(F.struct("id", "n")).alias("p"))
@@ -215,13 +228,14 @@ def near_groups(docs: DataFrame, near: Near = Near(), key: str = "doc_id",
         F.col("p.id").alias("a"), F.col("id").alias("b"), F.col("p.n").alias("n_a"),
         F.col("n").alias("n_b")).where("a < b").where(_close_sizes(near)).distinct()
     pairs = stored(_estimated(stars, classes, near), "pairs")
-    sets = _sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), rows, near)
+    sets = _sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), classes,
+                    rows, near)
     links = stored(_confirmed(pairs, sets, near), "links")
 
     # what the stars left apart: lists on whole sets, once more a star, then all that is left
     grouped = components(links)
     left = _named(lists, grouped).select("id")
-    sets = _sets_of(left, rows, near)
+    sets = _sets_of(left, classes, rows, near)
     lists = stored(_whole_lists(sets, near), "lists")
     named = stored(_named(lists, grouped), "lists")
     pivots = named.groupBy("value").agg(F.min_by(
@@ -234,10 +248,27 @@ def near_groups(docs: DataFrame, near: Near = Near(), key: str = "doc_id",
     links = grouped.toDF("a", "b").unionByName(_confirmed(
         stored(_across(named, named.where("true"), near), "pairs"), sets, near))
 
-    members = stored(alive.select("id", "digest").distinct().join(
-        classes.select("digest", F.col("id").alias("least")), "digest").select(
-        "id", "least"), "members")
-    linked = components(links.unionByName(_same_key(members)))
+    named = classes.select("digest", F.col("id").alias("node")).join(
+        components(links), "node", "left").select(
+        "digest", F.coalesce("component", "node").alias("component"))
+    return signed, stored(alive.select("id", "text_digest", "digest").distinct().join(
+        named, "digest").select("id", "text_digest", "component"), "members")
+
+
+def near_groups(docs: DataFrame, near: Near = Near(), key: str = "doc_id",
+                text: str = "text") -> DataFrame:
+    """``key, n_shingles, component_id, kept`` for each row of ``docs``.
+
+    ``component_id`` is the smallest key reachable by links, ``kept`` whether that is the
+    row's own. Documents without words are linked with nothing. Rows that repeat a key count
+    as one document when their texts are equal; with different texts they are linked through
+    the key they share. A row with a null key is linked with nothing: its component is null
+    and it is kept. Shingles are compared by 64-bit hashes.
+    """
+    signed, texts = _linked_texts(docs, near, key, text)
+    least = texts.groupBy("component").agg(F.min("id").alias("least"))
+    members = stored(texts.join(least, "component").select("id", "least").distinct(), "members")
+    linked = components(_same_key(members))
 
     found = members.join(linked.withColumnRenamed("node", "least"), "least", "left").groupBy(
         "id").agg(F.min(F.coalesce("component", "least")).alias("component"))
@@ -245,3 +276,16 @@ def near_groups(docs: DataFrame, near: Near = Near(), key: str = "doc_id",
         F.col("id").alias(key), F.col("n").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"),
         F.coalesce(F.col("component") == F.col("id"), F.lit(True)).alias("kept"))
+
+
+def kept_texts(docs: DataFrame, near: Near = Near(), key: str = "doc_id",
+               text: str = "text") -> DataFrame:
+    """``key, text_digest`` of the texts to keep, each once: of each component of similar texts
+    the one with the smallest key (then digest), and all texts without words.
+
+    A key may come with any number of texts, they are not linked by it. Null keys are left out.
+    """
+    signed, texts = _linked_texts(docs, near, key, text)
+    first = texts.groupBy("component").agg(F.min(F.struct("id", "text_digest")).alias("k"))
+    alone = signed.where("id is not null and n = 0").select("id", "text_digest").distinct()
+    return first.select("k.id", "k.text_digest").unionByName(alone).withColumnRenamed("id", key)

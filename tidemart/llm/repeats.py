@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.llm import exchange
+from tidemart.llm.common import text_digest
 
 _ANCHOR = 24
 _STEP = 1 << 19
@@ -225,7 +226,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
     smaller key are removed. Null text is empty. Rows with a null key are compared with
     nothing. Rows that repeat a key don't remove from each other. ``with_text`` adds
     ``kept_text``, the remaining bytes decoded (parts of a cut character are left out; null
-    where the text was null). Keys are integers; ``length`` is 32 to 64 bytes.
+    where the text was null), and ``text_digest``, that of the whole text. Keys are integers; ``length`` is 32 to 64 bytes.
     """
     if not 32 <= length <= 64:
         raise ValueError("length must be 32 to 64 bytes")
@@ -247,13 +248,15 @@ def remove_repeats(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
         for start, size in zip(block.starts.tolist(), block.sizes.tolist()):
             gone = covered[start:start + size]
             kept = block.data[start:start + size][~gone].tobytes()
+            whole = block.data[start:start + size] if with_text else kept
             out.append((size, int(gone.sum()), sum(1 for _ in _spans(gone)),
-                        hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore")))
-        columns = list(zip(*out)) or [[]] * 5
-        kinds = [pa.int64()] * 3 + [pa.string()] * 2
-        names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
+                        hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore"),
+                        hashlib.md5(whole, usedforsecurity=False).digest()))
+        columns = list(zip(*out)) or [[]] * 6
+        kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.binary()]
+        names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "text_digest"]
         made = {c: pa.array(v, k) for c, v, k in zip(names, columns, kinds)}
-        return pa.table({"id": pa.array(block.ids)} | {c: made[c] for c in names[:4 + with_text]})
+        return pa.table({"id": pa.array(block.ids)} | {c: made[c] for c in names[:4 + 2 * with_text]})
 
     by_block = rows.groupBy("block")
     runs = exchange.answer(by_block.applyInArrow(first, exchange.ASKED), _judge_runs, _RUN, _WIDTH)
@@ -261,12 +264,13 @@ def remove_repeats(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
         second, exchange.ASKED), _smaller_elsewhere, np.dtype(np.int64))
     both = runs.withColumn("round", F.lit(1)).unionByName(windows.withColumn("round", F.lit(2)))
     schema = ("id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-              + ", kept_text string" * with_text)
+              + ", kept_text string, text_digest binary" * with_text)
     found = by_block.cogroup(both.groupBy("block")).applyInArrow(last, schema)
     alone = docs.where(F.col(key).isNull()).select(
         F.lit(None).cast("long").alias("id"), F.octet_length(F.coalesce(text, F.lit(""))).cast(
             "long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
         F.lit(0).cast("long").alias("n_spans"),
         F.sha2(F.coalesce(text, F.lit("")), 256).alias("kept_sha256"),
-        *([F.coalesce(text, F.lit("")).alias("kept_text")] if with_text else []))
+        *([F.coalesce(text, F.lit("")).alias("kept_text"),
+           text_digest(F.coalesce(text, F.lit(""))).alias("text_digest")] if with_text else []))
     return found.unionByName(alone).withColumnRenamed("id", key)
