@@ -54,10 +54,14 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item; rows without an id are judged too."""
-    found = leaks.leaks(docs, table(spark, sf_dir, "benchmark")).select(
-        F.col("doc_id").alias("leaked")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("leaked")), "left_anti")
+    """Documents that hold no benchmark item, told by their text alone: other texts with the
+    same id, or without one, stay."""
+    texts = docs.select(text_digest("text").alias("text_digest"), "text")
+    found = leaks.leaks(texts, table(spark, sf_dir, "benchmark"), key="text_digest").select(
+        "text_digest").distinct()
+    rows = docs.select(F.struct(*_columns(docs)).alias("row"),
+                       text_digest("text").alias("text_digest"))
+    return rows.join(found, "text_digest", "left_anti").select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -221,6 +221,21 @@ def test_one_id_over_many_texts(spark, tmp_path):
     assert all(any(t and tail[10:-10] in t for t in got) for tail in tails)
 
 
+def test_one_leaked_text_takes_no_other_along(spark, tmp_path):
+    import corpus_pipeline as pipeline
+
+    r = random.Random(10)
+    some = lambda n: " ".join(f"t{r.randrange(5000)}" for _ in range(n))
+    leak = some(30)
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet")
+    clean = [(None, some(40)), (None, some(50)), (None, None), (4, some(40)), (5, some(40))]
+    docs = spark.createDataFrame(
+        clean + [(None, some(20) + " " + leak), (4, leak), (6, leak)], "doc_id long, text string")
+    got = pipeline.decontamination(spark, docs, str(tmp_path)).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(clean, key=repr)
+
+
 def test_words_are_split_at_ascii_space(spark):
     df = spark.createDataFrame([(" a\tb c \x0b\x1cd ",), (None,)], "t string")
     assert [r[0] for r in df.select(words(df.t)).collect()] == [["a", "b c", "\x1cd"], []]
