@@ -161,6 +161,28 @@ def test_cohorts(spark):
     assert got == [(1, 0, 2, 3, 1.0), (1, 2, 1, 1, 0.5), (12, 0, 1, 1, 1.0), (12, 1, 1, 1, 1.0)]
 
 
+def test_category_totals_of_a_hot_product_equal_their_twin(spark):
+    import duckdb
+
+    from tidemart.testbed.oracle import CTES
+
+    prod = [("p1", 10 ** 10, 1e12, 100.0, 4.5), ("p2", 3, 30.25, 10.08, 3.0),
+            ("p3", 10 ** 13, 2e15 + 0.5, 200.0, 4.0), ("p4", 2, 999999999999.99, 5e11, None),
+            ("p5", 1, None, None, 1.0)]
+    dim = [("p1", "toys"), ("p2", "toys"), ("p3", None), ("p4", "books"), ("p5", "none")]
+    kinds = ("product_id string, total_quantity bigint, total_sales double, avg_price double, "
+             "avg_review_score double", "product_id string, product_category_name_english string")
+    con = duckdb.connect()
+    for name, kind, data in zip(("prod", "s_products"), kinds, (prod, dim)):
+        con.execute(f"CREATE TABLE {name} ({kind})")
+        con.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(data[0]))})", data)
+    frames = [spark.createDataFrame(data, kind) for data, kind in zip((prod, dim), kinds)]
+    want = con.execute(CTES["categories"]).fetchall()
+    assert [tuple(r) for r in kpi.category_performance(*frames).collect()] == want
+    assert [tuple(r) for r in kpi.top12_categories(*frames).collect()] == want
+    assert [r[1] for r in want] == [2e15 + 1, 1e12 + 30, 1e12, None]
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -18,6 +18,13 @@ def exact(c: Column | str) -> Column:
     return c.try_cast("decimal(18,6)")
 
 
+def exact_total(c: Column | str) -> Column:
+    """A sum of amounts, kept as a double, as a decimal fit to be added up again: sums of
+    10^12 and more count too. NaN and infinities count as NULL."""
+    c = F.col(c) if isinstance(c, str) else c
+    return c.try_cast("decimal(38,6)")
+
+
 def amount(total: Column, digits: int = 2) -> Column:
     """A sum of exact amounts as a double, half-up rounded."""
     return F.round(total, digits).cast("double")

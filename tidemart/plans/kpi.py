@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemart.functions.numbers import amount, exact, mean, mean_amount, ratio
+from tidemart.functions.numbers import amount, exact, exact_total, mean, mean_amount, ratio
 from tidemart.functions.text import mask_id
 from tidemart.operators.histogram import equal_width
 
@@ -208,7 +208,7 @@ def category_performance(products: DataFrame, dim_products: DataFrame,
     """Sales per category. The averages are unweighted means of the product means."""
     joined = products.join(dim_products.select("product_id", "product_category_name_english"),
                            "product_id")
-    sales, price = exact("total_sales"), exact("avg_price")
+    sales, price = exact_total("total_sales"), exact("avg_price")
     return (joined.groupBy(F.coalesce("product_category_name_english", F.lit("Unknown"))
                            .alias("category"))
             .agg(amount(F.sum(sales), 0).alias("total_sales"),
