@@ -132,6 +132,33 @@ def test_licences(spark, frame, small_docs):
     assert licenses.scan(frame(pairs), templates.limit(0)).count() == 0
 
 
+def test_licence_families(spark, frame):
+    gpl = ("This {0} is free software; you can redistribute it and/or modify it under the terms of "
+           "the GNU {1}General Public License as published by the Free Software Foundation; either "
+           "version {2} of the License, or (at your option) any later version.")
+    texts = {
+        "(c) 2020 Acme. All rights reserved": {"All-Rights-Reserved"},
+        "Licensed under CC BY-NC 4.0": {"CC-BY-NC-4.0"},
+        " * 'Licensed under the Apache License, Version 2.0 (the \"License\");": {"Apache-2.0"},
+        gpl.format("program", "", "2"): {"GPL-2.0"}, gpl.format("program", "", "3"): {"GPL-3.0"},
+        gpl.format("library", "Lesser ", "2.1"): {"LGPL-2.1"},
+        gpl.format("program", "Affero ", "3"): {"AGPL-3.0"},
+        "This is free and unencumbered software, released into the public domain": {"Unlicense"}}
+    templates = spark.createDataFrame(licenses.TEMPLATES, licenses.TEMPLATE_COLUMNS)
+    pairs = list(enumerate(PROSE + "\n" + t + "\n" + PROSE for t in texts))
+    got = {}
+    for r in licenses.scan(frame(pairs), templates).collect():
+        got.setdefault(r.doc_id, set()).add(r.license)
+    assert got == dict(enumerate(texts.values()))
+
+    tags = ["// SPDX-License-Identifier: (MIT OR Apache-2.0) AND ISC */", None, "SPDX MIT",
+            "spdx-license-identifier: GPL-2.0-only WITH Classpath-exception-2.0.\nx"]
+    found = licenses.spdx_tags(frame(list(enumerate(tags)) + [(0, tags[0])])).collect()
+    assert sorted((r.doc_id, r.license) for r in found) == [
+        (0, "Apache-2.0"), (0, "ISC"), (0, "MIT"),
+        (3, "GPL-2.0-only WITH Classpath-exception-2.0")]
+
+
 # ------------------------------------------------------------- HTML
 
 FUNCTION_WORDS = "the of and house " * 20

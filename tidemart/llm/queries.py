@@ -66,7 +66,8 @@ def _(spark, sf_dir):
 @query("op10_license_scan")
 def _(spark, sf_dir):
     templates = spark.createDataFrame(licenses.TEMPLATES, licenses.TEMPLATE_COLUMNS)
-    return licenses.scan(table(spark, sf_dir, "documents"), templates)
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan(docs, templates).unionByName(licenses.spdx_tags(docs))
 
 
 #: Rules (host, path, verdict) of the URL query. Fixed values.
