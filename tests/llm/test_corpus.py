@@ -159,6 +159,14 @@ def test_licence_families(spark, frame):
         (3, "GPL-2.0-only WITH Classpath-exception-2.0")]
 
 
+def test_licence_bands_keep_the_miss_rate():
+    for n, class_ in ((1, 3), (3, 3), (31, 6), (38, 6)):
+        bands = licenses.bands_of(n, class_, 3, 80, 32)
+        shared = math.ceil(.8 * n)
+        j = shared / (n - shared + 2 * 2 ** class_ - 2)
+        assert bands >= 32 and (1 - j) ** bands <= 1e-5
+
+
 # ------------------------------------------------------------- HTML
 
 FUNCTION_WORDS = "the of and house " * 20

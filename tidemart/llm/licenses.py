@@ -4,14 +4,16 @@ Templates are put in classes by length (8, 16, 32, ... words). For each class a
 cut into windows of twice that length, each starting one length after the one before, so
 that a notice lies whole in some window. MinHash values of the shingles of a window, one per
 band, meet those of the templates; exact containment of the template's shingles in the
-window confirms. A window that contains 80 % of a template has a similarity of 0.3 or more
-with it, and misses all 32 bands with a probability of about 1e-5; a whole notice 5e-9.
+window confirms. The bands of a template are as many as let a full window that holds just the
+asked part of it miss them all with a probability of 1e-5 at most, and 32 at least.
 
 SPDX tags name their licence and are read as they are.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -101,6 +103,14 @@ def shingles(words: Column, size: int, like: str | None = None) -> Column:
     return F.transform(starts, lambda i: F.xxhash64(*(F.get(words, i + j) for j in range(size))))
 
 
+def bands_of(n: int, class_: int, size: int, percent: int, least: int, miss: float = 1e-5) -> int:
+    """Bands for a template of ``n`` shingles: a full window of its class that holds just the
+    asked part misses all with a probability of ``miss`` at most."""
+    shared = max(1, math.ceil(n * percent / 100))
+    j = shared / (max(0, n - shared) + max(shared, 2 * 2 ** class_ - size + 1))
+    return least if j >= 1 else max(least, math.ceil(math.log(miss) / math.log1p(-j)))
+
+
 def _bands(shingled: str, bands: Column) -> Column:
     """(band, least hash) for each hash function, from an array column."""
     return F.transform(F.sequence(F.lit(0), bands - 1), lambda b: F.struct(
@@ -125,7 +135,7 @@ def scan(docs: DataFrame, templates: DataFrame, percent: int = 80, size: int = 3
     ``template_id`` is a hash of the template's words. A-Z is compared in lower case; words
     are split at ASCII white space, punctuation at their edges does not count. Shingles of a
     template with a digit or the word GNU must all be there: they tell versions and relatives
-    apart. Templates with fewer than ``size`` words, null texts and
+    apart. ``bands`` is the least number of bands. Templates with fewer than ``size`` words, null texts and
     empty texts match nothing. A key has one row per template, from its best window,
     however often its row is repeated; null keys stay. Shingles of all templates together
     are taken to fit a literal (a few thousand); documents with none of them are not cut.
@@ -138,7 +148,7 @@ def scan(docs: DataFrame, templates: DataFrame, percent: int = 80, size: int = 3
         F.array_distinct(shingles(F.col("w"), size, _TELLING)).alias("must")).where(
         F.size("t") > 0), "templates")
     sizes = known.select("class", F.size("t").alias("n")).distinct().collect()
-    numbers = {(c, n): bands for c, n in sizes}
+    numbers = {(c, n): bands_of(n, c, size, percent, bands) for c, n in sizes}
     classes = sorted({c for c, _ in numbers})
 
     def number(pairs: dict, *of: Column) -> Column:
