@@ -248,10 +248,11 @@ def remove_repeats(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
         for start, size in zip(block.starts.tolist(), block.sizes.tolist()):
             gone = covered[start:start + size]
             kept = block.data[start:start + size][~gone].tobytes()
-            whole = block.data[start:start + size] if with_text else kept
+            digest = hashlib.md5(block.data[start:start + size], usedforsecurity=False
+                                 ).digest() if with_text else None
             out.append((size, int(gone.sum()), sum(1 for _ in _spans(gone)),
                         hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore"),
-                        hashlib.md5(whole, usedforsecurity=False).digest()))
+                        digest))
         columns = list(zip(*out)) or [[]] * 6
         kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.binary()]
         names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "text_digest"]
