@@ -7,9 +7,11 @@ from dataclasses import dataclass
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemart.llm import (
-    html, leaks, licenses, lm, near, packing, quality, repeats, tokens, urls,
+    chat, html, leaks, licenses, lm, near, packing, quality, repeats, spelling, tokens, urls,
+    whitening,
 )
 from tidemart.llm.common import table
 
@@ -160,3 +162,24 @@ def _(spark, sf_dir):
 @query("op8_packing")
 def _(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query("op11_chat_format")
+def _(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame(
+        [(-1, i, role, "</s>[INST] ok [/INST]") for i, role in enumerate(("user", "assistant"))],
+        turns.schema)
+    content = chat.text_part(F.col("text"))
+    return chat.digests(chat.format_chats(
+        turns.unionByName(probe).select("conv_id", "turn", "role", content.alias("content"))))
+
+
+@query("op12_spelling_variants")
+def _(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query("op13_embedding_whitening")
+def _(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
