@@ -2,10 +2,11 @@ from __future__ import annotations
 
 import hashlib
 import random
+from collections import Counter
 
 from llm_fixtures import frame, small_docs  # noqa: F401
 from tidemart.llm import exchange
-from tidemart.llm.repeats import remove_repeats
+from tidemart.llm.repeats import remove_repeats, without_repeats
 
 
 def brute(pairs, length=50):
@@ -23,7 +24,8 @@ def brute(pairs, length=50):
                 gone[p:p + length] = b"\1" * length
         kept = bytes(c for c, g in zip(text, gone) if not g)
         spans = sum(g and not (p and gone[p - 1]) for p, g in enumerate(gone))
-        out[i] = (len(text), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+        out[i] = (len(text), sum(gone), spans, hashlib.sha256(kept).hexdigest(),
+                  kept.decode(errors="ignore"))
     return out
 
 
@@ -48,14 +50,20 @@ def check(frame, texts, monkeypatch, size):
     monkeypatch.setattr(exchange.blocks, "__defaults__", (size,))
     pairs = list(enumerate(texts))
     random.Random(1).shuffle(pairs)
-    got = remove_repeats(frame(pairs + [(None, texts[-1]), (6, texts[6])]), with_text=True).collect()
+    docs = frame(pairs + [(None, texts[-1]), (6, texts[6])])
+    got = remove_repeats(docs).collect()
     assert len(got) == len(pairs) + 2
     want = brute(pairs)
     for r in got:
         if r.doc_id is None:
             assert r.n_removed == 0
         else:
-            assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id]
+            assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id][:4]
+    left = without_repeats(docs)
+    assert left.schema == docs.schema
+    have = Counter((r.doc_id, r.text, r.source) for r in left.collect())
+    assert have == Counter((i, t if t is None or i is None else want[i][4], "s")
+                           for i, t in [*pairs, (None, texts[-1]), (6, texts[6])])
 
 
 def test_planted_passages(frame, monkeypatch):

@@ -8,11 +8,11 @@ all documents hold is thus stated once per block, whatever its frequency.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ASKED = "bucket long, block long, keys binary, values binary"
@@ -22,13 +22,16 @@ ANSWERED = "block long, bucket long, answers binary"
 BLOCK_BYTES = 8 << 20
 
 
-def blocks(docs: DataFrame, key: str, text: str, size: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
+def blocks(docs: DataFrame, key: str, text: str, size: int = BLOCK_BYTES, *,
+           keep: Sequence[Column] = ()) -> tuple[DataFrame, int]:
     """``block, id, text`` of all rows, and the number of blocks; null text becomes empty.
+    Columns to ``keep`` travel along.
 
     Rows go to a block by a hash of key, text and input partition, so that neither a null nor
     a repeated key gathers in one block.
     """
-    rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
+                       *keep)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(total // size) + 1
     return rows.withColumn("block", F.pmod(F.xxhash64(

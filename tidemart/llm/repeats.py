@@ -18,17 +18,16 @@ Ranks are 64-bit hashes, so equal bytes get equal ranks in every task without a
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.llm import exchange
-from tidemart.llm.common import text_digest
 
 _ANCHOR = 24
 _STEP = 1 << 19
@@ -80,6 +79,7 @@ class Block:
         self.length = length
         # in order of the keys, so that the first of equal runs has the smallest
         table = table.sort_by("id")
+        self.table = table
         self.block = table["block"][0].as_py() if table.num_rows else 0
         self.ids = table["id"].to_numpy()
         texts = [t.encode() for t in table["text"].to_pylist()]
@@ -218,21 +218,14 @@ def _spans(covered: np.ndarray) -> Iterator[tuple[int, int]]:
     return zip(edge[::2].tolist(), edge[1::2].tolist())
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, key: str = "doc_id", text: str = "text",
-                   with_text: bool = False) -> DataFrame:
-    """``key, n_bytes, n_removed, n_spans, kept_sha256`` for each row of ``docs``.
-
-    Bytes covered by a string of ``length`` UTF-8 bytes that also starts in a document with a
-    smaller key are removed. Null text is empty. Rows with a null key are compared with
-    nothing. Rows that repeat a key don't remove from each other. ``with_text`` adds
-    ``kept_text``, the remaining bytes decoded (parts of a cut character are left out; null
-    where the text was null), and ``text_digest``, that of the whole text. Keys are integers; ``length`` is 32 to 64 bytes.
-    """
+def _blocks_done(docs: DataFrame, length: int, key: str, text: str, schema: T.StructType | str,
+                 keep: tuple[Column, ...], emit: Callable[[Block, np.ndarray], pa.Table]
+                 ) -> DataFrame:
+    """Rows that ``emit`` makes of each block of documents and its covered bytes."""
     if not 32 <= length <= 64:
         raise ValueError("length must be 32 to 64 bytes")
-    rows, n = exchange.blocks(docs.where(F.col(key).isNotNull()), key, text)
+    rows, buckets = exchange.blocks(docs, key, text, keep=keep)
     rows = rows.withColumn("id", F.col("id").cast("long"))
-    buckets = n
 
     def first(table: pa.Table) -> pa.Table:
         return Block(table, length).ask_runs(buckets)
@@ -243,35 +236,70 @@ def remove_repeats(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
     def last(table: pa.Table, replies: pa.Table) -> pa.Table:
         block = Block(table, length)
         rounds = [replies.filter(pc.equal(replies["round"], i)) for i in (1, 2)]
-        covered = block.covered(*rounds, buckets)
-        out = []
-        for start, size in zip(block.starts.tolist(), block.sizes.tolist()):
-            gone = covered[start:start + size]
-            kept = block.data[start:start + size][~gone].tobytes()
-            digest = hashlib.md5(block.data[start:start + size], usedforsecurity=False
-                                 ).digest() if with_text else None
-            out.append((size, int(gone.sum()), sum(1 for _ in _spans(gone)),
-                        hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore"),
-                        digest))
-        columns = list(zip(*out)) or [[]] * 6
-        kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.binary()]
-        names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "text_digest"]
-        made = {c: pa.array(v, k) for c, v, k in zip(names, columns, kinds)}
-        return pa.table({"id": pa.array(block.ids)} | {c: made[c] for c in names[:4 + 2 * with_text]})
+        return emit(block, block.covered(*rounds, buckets))
 
     by_block = rows.groupBy("block")
     runs = exchange.answer(by_block.applyInArrow(first, exchange.ASKED), _judge_runs, _RUN, _WIDTH)
     windows = exchange.answer(by_block.cogroup(runs.groupBy("block")).applyInArrow(
         second, exchange.ASKED), _smaller_elsewhere, np.dtype(np.int64))
     both = runs.withColumn("round", F.lit(1)).unionByName(windows.withColumn("round", F.lit(2)))
-    schema = ("id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-              + ", kept_text string, text_digest binary" * with_text)
-    found = by_block.cogroup(both.groupBy("block")).applyInArrow(last, schema)
+    return by_block.cogroup(both.groupBy("block")).applyInArrow(last, schema)
+
+
+def _documents(block: Block, covered: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Bytes of each document of a block, and which of them are covered."""
+    for start, size in zip(block.starts.tolist(), block.sizes.tolist()):
+        yield block.data[start:start + size], covered[start:start + size]
+
+
+def remove_repeats(docs: DataFrame, length: int = 50, key: str = "doc_id",
+                   text: str = "text") -> DataFrame:
+    """``key, n_bytes, n_removed, n_spans, kept_sha256`` for each row of ``docs``.
+
+    Bytes covered by a string of ``length`` UTF-8 bytes that also starts in a document with a
+    smaller key are removed. Null text is empty. Rows with a null key are compared with
+    nothing. Rows that repeat a key don't remove from each other. Extra columns are ignored; an
+    empty table gives no rows. Keys are integers; ``length`` is 32 to 64 bytes.
+    """
+    def emit(block: Block, covered: np.ndarray) -> pa.Table:
+        out = [(len(data), int(gone.sum()), sum(1 for _ in _spans(gone)),
+                hashlib.sha256(data[~gone].tobytes()).hexdigest())
+               for data, gone in _documents(block, covered)]
+        columns = list(zip(*out)) or [[]] * 4
+        names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
+        kinds = [pa.int64()] * 3 + [pa.string()]
+        return pa.table({"id": pa.array(block.ids)} | {
+            c: pa.array(v, k) for c, v, k in zip(names, columns, kinds)})
+
+    found = _blocks_done(
+        docs.where(F.col(key).isNotNull()), length, key, text,
+        "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", (), emit)
+    whole = F.coalesce(F.col(text), F.lit(""))
     alone = docs.where(F.col(key).isNull()).select(
-        F.lit(None).cast("long").alias("id"), F.octet_length(F.coalesce(text, F.lit(""))).cast(
-            "long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
-        F.lit(0).cast("long").alias("n_spans"),
-        F.sha2(F.coalesce(text, F.lit("")), 256).alias("kept_sha256"),
-        *([F.coalesce(text, F.lit("")).alias("kept_text"),
-           text_digest(F.coalesce(text, F.lit(""))).alias("text_digest")] if with_text else []))
+        F.lit(None).cast("long").alias("id"), F.octet_length(whole).cast("long").alias("n_bytes"),
+        F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
+        F.sha2(whole, 256).alias("kept_sha256"))
     return found.unionByName(alone).withColumnRenamed("id", key)
+
+
+def without_repeats(docs: DataFrame, length: int = 50, key: str = "doc_id",
+                    text: str = "text") -> DataFrame:
+    """All rows and columns of ``docs`` with the bytes that ``remove_repeats`` removes taken out
+    of ``text``; parts of a cut character go too. Null texts stay null, rows without a key stay
+    as they are. The other columns travel with the text, so it is shuffled once."""
+    others = [c for c in docs.columns if c != text]
+    keep = (F.struct(*(F.col(f"`{c}`") for c in others)).alias("row"),
+            F.col(text).isNull().alias("none"))
+    schema = T.StructType([T.StructField("text", T.StringType()), T.StructField(
+        "row", T.StructType([docs.schema[c] for c in others]))])
+
+    def emit(block: Block, covered: np.ndarray) -> pa.Table:
+        none = block.table["none"].to_pylist()
+        kept = [None if null else data[~gone].tobytes().decode(errors="ignore")
+                for null, (data, gone) in zip(none, _documents(block, covered))]
+        return pa.table({"text": pa.array(kept, pa.string()), "row": block.table["row"]})
+
+    found = _blocks_done(docs.where(F.col(key).isNotNull()), length, key, text, schema, keep, emit)
+    return found.select(*(F.col("text") if c == text else F.col(f"row.`{c}`")
+                          for c in docs.columns)).toDF(*docs.columns).unionByName(
+        docs.where(F.col(key).isNull()))
