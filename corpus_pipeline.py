@@ -41,16 +41,10 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Null texts stay null; ``n_chars`` is that of the new text. All documents stay.
     """
-    found = repeats.remove_repeats(docs, with_text=True).where(
-        "doc_id is not null and n_removed > 0").select(
-        "doc_id", "text_digest", "kept_text").dropDuplicates(["doc_id", "text_digest"])
-    changed = docs.select(F.struct(*_columns(docs)).alias("row"), "doc_id", text_digest(
-        "text").alias("text_digest")).join(found, ["doc_id", "text_digest"], "left")
-    text = F.coalesce("kept_text", "row.text")
-    return changed.select(*(
-        text.alias(c) if c == "text"
-        else F.length(text).cast("long").alias(c) if c == "n_chars"
-        else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+    left = repeats.without_repeats(docs)
+    if "n_chars" not in docs.columns:
+        return left
+    return left.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
