@@ -189,6 +189,41 @@ def test_main_text(page, text):
     assert html.main_text(page or "") == text
 
 
+@pytest.mark.parametrize("name", [
+    "comment-body", "comment-text", "ad-content", "sidebar-content", "newsletter-body",
+    "cookie-text", "footer-content", "related-article", "main-navigation", "content sidebar"])
+def test_boilerplate_names(name):
+    page = (f"<article><p>{FUNCTION_WORDS}</p><div class='{name}'><p>{FUNCTION_WORDS}x</p></div>"
+            f"<p>the end</p></article>")
+    assert html.main_text(page) == f"{FUNCTION_WORDS.strip()}\nthe end"
+    if "article" not in name:
+        assert html.main_text(page.replace("article", "div")) == FUNCTION_WORDS.strip()
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "content-sidebar-wrap", "body-text", "entry",
+                                  "no-comments", "story-layout", "article-content"])
+def test_names_around_main_text(name):
+    page = f"<div class='{name}'><p>{FUNCTION_WORDS}</p></div>"
+    assert html.main_text(page) == FUNCTION_WORDS.strip()
+
+
+def test_text_that_is_no_boilerplate():
+    long = FUNCTION_WORDS.strip()
+    assert html.main_text("<p>Short one.</p>") == "Short one."
+    assert html.main_text("<ul><li>a<li>b</ul><nav><a href=x>menu</a></nav>") == "a\nb"
+    assert html.main_text(f"<article><p>{long}</p><p>Photo \u00a9 Ann, of the year</p>"
+                          "<p>\u00a9 2024 Press</p></article>") == (
+        f"{long}\nPhoto \u00a9 Ann, of the year")
+    # a teaser beside the post
+    page = (f"<div><h1>Post</h1><p>{long}</p><p>{long}</p></div>"
+            "<article><h2><a href=x>Other news of the day</a></h2></article>")
+    assert html.main_text(page) == f"Post\n{long}\n{long}"
+    # a link around blocks, and one that is never closed
+    page = (f"<p>{long}</p><a href=x><div>{long}</div><div>{long}</div></a>"
+            f"<p><a href=y>open</p><p>{long}</p>")
+    assert html.main_text(page) == f"{long}\n{long}"
+
+
 def test_pages(spark):
     rows = [(1, "u", None), (1, "u", None), (None, None, "<article><p>é of</article>"),
             (2, "v", "x" * 100_000 + "<div>" * 50_000 + "<" * 1000)]

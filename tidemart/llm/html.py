@@ -43,7 +43,10 @@ BAD_NAMES = frozenset(
     "subscribe subscription signup login popup modal overlay toolbar social share sharing "
     "comment comments respond disqus related recommended trending widget copyright legal "
     "disclaimer skip search".split())
-GOOD_NAMES = frozenset("content article main story entry body text wrapper layout no has".split())
+#: A name with one of the first tells what the page has, not what the element is; one that
+#: ends with one of the second, and starts well, surrounds the main text too.
+STATE_NAMES = frozenset("no has with without".split())
+AROUND_NAMES = frozenset("wrap wrapper layout container grid row".split())
 STOP_WORDS = frozenset((
     "a an and are as at be been but by can for from had has have he her his if in into is it its "
     "not of on or she so than that the their them they this to was we were which who will with "
@@ -68,6 +71,9 @@ _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'
                         re.IGNORECASE)
 
 
+_COPYRIGHT = re.compile("(?:copyright *)?\N{COPYRIGHT SIGN}", re.IGNORECASE)
+
+
 @dataclass(slots=True)
 class Block:
     tag: str
@@ -89,10 +95,10 @@ def _bad_names(attributes: str, inside: bool) -> bool:
         if name == "hidden" or name == "role" and value in BAD_ROLES:
             return True
         for word in value.split() if name in ("class", "id") else ():
-            parts = set(re.split(r"[^a-z]+", word))
-            if parts & GOOD_NAMES:
-                continue
-            if parts & BAD_NAMES or not inside and "header" in parts:
+            parts = [p for p in re.split(r"[^a-z]+", word) if p]
+            bad = BAD_NAMES.union(() if inside else ("header",)).intersection(parts)
+            if bad and not STATE_NAMES.intersection(parts) and not (
+                    parts[-1] in AROUND_NAMES and parts[0] not in bad):
                 return True
     return False
 
@@ -113,9 +119,12 @@ def blocks(html: str) -> list[Block]:
         return Block(tag, stack[-1][1], stack[-1][2])
 
     def close(tag: str) -> None:
+        nonlocal links
         while stack[-1][0] != tag:
             held[stack.pop()[0]] -= 1
         held[stack.pop()[0]] -= 1
+        if len(stack) < links:
+            links = 0       # a link ends with the element it started in
 
     def say(text: str) -> None:
         text = unescape(text)
@@ -132,11 +141,10 @@ def blocks(html: str) -> list[Block]:
         if not tag:
             continue
         if tag == "a":
-            links = 0 if match[2] else 1
+            links = 0 if match[2] else len(stack)
         elif tag == "br":
             current.parts.append("\n")
         elif tag in BLOCK:
-            links = 0
             group = SELF_CLOSING.get(tag)
             if match[2]:
                 if held[tag]:
@@ -169,7 +177,8 @@ def _first_label(block: Block, text: str) -> bool | None:
     size = len(text.replace(" ", ""))
     if block.linked > MAX_LINKS * size:
         return False
-    if "\N{COPYRIGHT SIGN}" in text and len(text) < LONG:
+    if len(text) < LONG and _COPYRIGHT.search(text) and (
+            not block.region or _COPYRIGHT.match(text)):
         return False
     if len(text) < SHORT:
         return None
@@ -178,26 +187,37 @@ def _first_label(block: Block, text: str) -> bool | None:
     return True if stops >= STOP_LOW * len(words) else None
 
 
+def _inside(found: list[tuple[Block, str]], labels: list[bool | None]) -> bool:
+    """Whether the article and main elements hold most of what reads like main text."""
+    inside = any(b.region and not b.bad for b, _ in found)
+    size = [0, 0]
+    for (block, text), label in zip(found, labels):
+        if label:
+            size[block.region > 0] += len(text)
+    return inside and size[1] >= size[0]
+
+
 def main_text(html: str) -> str:
     found = [(b, b.text) for b in blocks(html)]
-    if any(b.region and not b.bad for b, _ in found):
-        inside = [(b, t) for b, t in found if b.region]
-    else:
-        inside = found
-    labels = [_first_label(b, t) for b, t in inside]
+    labels = [_first_label(b, t) for b, t in found]
+    narrow = _inside(found, labels)
+    if narrow:
+        kept = [i for i, (b, _) in enumerate(found) if b.region]
+        found, labels = [found[i] for i in kept], [labels[i] for i in kept]
     decided = [i for i, label in enumerate(labels) if label is not None
-               and not (inside[i][0].region and inside[i][0].bad)]
+               and not (narrow and found[i][0].bad)]
     keep = []
-    for i, ((block, text), label) in enumerate(zip(inside, labels)):
+    for i, ((block, text), label) in enumerate(zip(found, labels)):
         if label is None:
             at = bisect_left(decided, i)
             before = decided[at - 1] if at else None
             after = decided[at] if at < len(decided) else None
-            if block.region or before is after is None:
+            if narrow:
                 # text of an article is dropped between two blocks that are boilerplate
-                label = block.region > 0 and (before is None or after is None
-                                              or labels[before] or labels[after])
-            elif before is None or after is None or block.tag in HEADING and after is not None:
+                label = before is None or after is None or labels[before] or labels[after]
+            elif before is after is None or not any(labels):
+                label = bool(block.tag)     # nothing reads like main text: its blocks count
+            elif before is None or after is None or block.tag in HEADING:
                 label = labels[after if after is not None else before]
             elif i - before == after - i:
                 label = labels[before] and labels[after]
@@ -213,8 +233,8 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url",
     """``key, url, text, n_chars`` for each row of ``pages``.
 
     A null or empty page, and one without main text, has an empty text. Repeated rows and
-    null keys stay; other columns are ignored. Rows are read where they are, without a
-    shuffle, one page at a time.
+    null keys stay; other columns are ignored; an empty table gives no rows; pages of any length
+    are read whole. Rows are read where they are, without a shuffle, one page at a time.
     """
     schema = T.StructType([pages.schema[key], pages.schema[url],
                            T.StructField("text", T.StringType()),
