@@ -5,8 +5,8 @@ import random
 from collections import Counter
 
 from llm_fixtures import frame, small_docs  # noqa: F401
-from tidemart.llm import exchange
-from tidemart.llm.repeats import remove_repeats, without_repeats
+from tidemart.llm import exchange, repeats
+from tidemart.llm.repeats import Block, remove_repeats, without_repeats
 
 
 def brute(pairs, length=50):
@@ -70,10 +70,44 @@ def test_planted_passages(frame, monkeypatch):
     check(frame, planted(), monkeypatch, 2000)
 
 
+def test_long_documents_in_parts(frame, monkeypatch):
+    """Blocks are indexed in parts of 130 bytes; the result is the same."""
+    index = Block._segments
+
+    def parts(self):
+        for a, b, lo, own in index(self):
+            if b - a == 1:
+                for at in range(0, own, 130):
+                    yield a, b, lo + at, min(130, own - at)
+            else:
+                yield a, b, lo, own
+
+    texts = planted(11) + ["x" * 700 + "abc" * 90]
+    pairs = [(i, t) for i, t in enumerate(texts) if t]
+    import pyarrow as pa
+    table = pa.table({"block": [0] * len(pairs), "id": [i for i, _ in pairs],
+                      "text": [t for _, t in pairs]})
+    monkeypatch.setattr(repeats, "_STEP", 100)
+    plain = Block(table, 50)
+    monkeypatch.setattr(Block, "_segments", parts)
+    cut = Block(table, 50)
+    assert (plain.rank == cut.rank).all() and len(cut.run) > len(plain.run)
+
+    def windows(block):
+        return sorted((int(d), p) for d, lo, hi in zip(block.doc, block.low, block.high)
+                      for p in range(lo, hi + 1))
+
+    assert windows(plain) == windows(cut)
+
+
 def test_documents(frame, small_docs, monkeypatch):
     check(frame, [r.text for r in small_docs.collect()], monkeypatch, 100_000)
 
 
+def test_only_short_texts(frame, monkeypatch):
+    check(frame, [f"text {i} of twenty bytes" for i in range(30)], monkeypatch, 2000)
+
+
 def test_nothing(frame):
     assert remove_repeats(frame([])).count() == 0
     assert remove_repeats(frame([(None, None), (2, None)])).count() == 2

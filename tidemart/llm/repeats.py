@@ -31,6 +31,8 @@ from tidemart.llm import exchange
 
 _ANCHOR = 24
 _STEP = 1 << 19
+#: A longer document is indexed in parts.
+_WHOLE = 1 << 22
 _C1, _C2, _C3 = (np.uint64(c) for c in (
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD))
 _AT = np.uint64((1 << 27) - 1)
@@ -89,29 +91,41 @@ class Block:
         self.rank = np.empty(0, dtype=np.uint64)
         self._index()
 
+    def _segments(self) -> Iterator[tuple[int, int, int, int]]:
+        """First and last document, first byte and windows of a step: several documents, or a
+        part of a long one. Parts overlap, so that every window is in one; runs that are cut
+        there are compared window by window."""
+        for a, b in exchange.chunks(self.sizes, _STEP):
+            size = int(self.sizes[a:b].sum())
+            step = size if size <= _WHOLE else _STEP
+            for at in range(0, size, max(step, 1)):
+                yield a, b, int(self.starts[a]) + at, min(step, size - at)
+
     def _index(self) -> None:
         doc, anchor, run, low, high, rank = [], [], [], [], [], []
-        for a, b in exchange.chunks(self.sizes, _STEP):
-            lo = self.starts[a]
-            data = self.data[lo:self.starts[b - 1] + self.sizes[b - 1]]
+        for a, b, lo, own in self._segments():
+            end = self.starts[b - 1] + self.sizes[b - 1]
+            data = self.data[lo:min(end, lo + own + self.length - 1)]
             if len(data) < self.length:
-                rank.append(np.zeros(len(data), dtype=np.uint64))
+                rank.append(np.zeros(own, dtype=np.uint64))
                 continue
             short, whole = _ranks(data, self.length)
-            owner = np.repeat(np.arange(a, b), self.sizes[a:b])
+            rank.append(np.r_[whole, np.zeros(len(data) - len(whole), np.uint64)][:own])
+            owner = np.repeat(np.arange(a, b), self.sizes[a:b])[:len(data)]
             inside = owner[:len(whole)] == owner[self.length - 1:]
+            if not inside.any():
+                continue
             at = np.arange(len(short), dtype=np.uint64)
             least = _least((short & ~_AT) | (at & _AT), self.length - _ANCHOR + 1)
             place = (least & _AT).astype(np.int64)
             p = np.flatnonzero(inside)
-            new = np.r_[True, (place[p[1:]] != place[p[:-1]]) | (np.diff(p) > 1)] if len(p) else p
+            new = np.r_[True, (place[p[1:]] != place[p[:-1]]) | (np.diff(p) > 1)]
             first = np.flatnonzero(new)
             last = np.append(first[1:], len(p)) - 1
             doc.append(owner[p[first]])
             offset = (place[p[first]] - p[first]).astype(np.uint64)
             low.append(p[first] + lo)
             high.append(p[last] + lo)
-            rank.append(np.r_[whole, np.zeros(len(data) - len(whole), np.uint64)])
             anchor.append(short[place[p[first]]] & _48)
             run.append(_pair(_pair(whole[p[first]], whole[p[last]]), offset * _C1
                              + (p[last] - p[first]).astype(np.uint64)) & _48)
