@@ -147,7 +147,7 @@ def test_customers_without_a_dimension_row(shop, customers):
 
 def test_pivot_fills_missing_pairs(shop):
     got = rows(kpi.delay_score_pivot(shop["fact"]))
-    assert got == [(0, 0, 0, 0, 0, 3), (1, 1, 0, 0, 0, 0)]
+    assert got == [(0, 0, 0, 0, 0, 3, 0), (1, 1, 0, 0, 0, 0, 0)]
 
 
 def test_cohorts(spark):
@@ -208,3 +208,65 @@ def test_unused_payments_are_not_read(retail):
 def test_no_query_uses_python_rows(retail):
     for df in (retail.fact, retail.order_summary, kpi.overview(retail.fact, retail.customers)):
         assert not {"ArrowEvalPython", "BatchEvalPython"} & set(plan(df).replace("(", " ").split())
+
+
+def test_amounts_of_any_size_are_added(spark):
+    from tidemart.functions.numbers import amount, exact
+    tiny = spark.range(1_000_000).select(F.lit(4e-7).alias("x"))
+    assert tiny.agg(amount(F.sum(exact("x")))).first()[0] == 0.4
+    large = spark.createDataFrame([(1e12,), (1.0,), (2.0,), (1e13,), (None,), (float("nan"),)],
+                                  "x double")
+    assert large.agg(amount(F.sum(exact("x")))).first()[0] == 11e12 + 3
+    with pytest.raises(Exception):
+        spark.createDataFrame([(1e30,), (1.0,)], "x double").agg(F.sum(exact("x"))).collect()
+    orders = spark.createDataFrame([("a", 2e12), ("a", 1e-7), ("b", 3.0)],
+                                   "order_status string, total_amount double")
+    assert rows(kpi.revenue_by_status(orders), "order_status", "revenue") == [
+        ("a", 2e12), ("b", 3.0)]
+    assert rows(kpi.run_sql(spark, kpi.STATUS_REVENUE_SQL, {"status": "a"},
+                            order_summary=orders)) == [("a", 2e12)]
+
+
+def test_a_score_outside_the_scale_is_counted(spark):
+    fact = spark.createDataFrame([(6.0, 0, 3), (5.0, 0, 3), (5.0, 1, 2), (7.4, 1, 1)],
+                                 "review_score double, delay_flag int, delivery_days int")
+    assert rows(kpi.delay_score_pivot(fact), "delay_flag", "score_5", "score_other") == [
+        (0, 1, 1), (1, 1, 1)]
+
+
+def test_months_merge_to_exact_distinct_counts(spark, lake_dir):
+    from tidemart.plans import months
+    lines = [(i, i % 4, datetime(2018, 1 + i % 3, 5)) for i in range(12)] + [
+        (100_000, 7, datetime(2018, 1, 9)), (100_000, 7, datetime(2018, 1, 9)),
+        (-5, None, datetime(2019, 1, 9)), (9, 1, None)]
+    fact = spark.createDataFrame(lines, "order_id long, customer_id long, "
+                                 "purchase_timestamp timestamp").selectExpr(
+        "*", "1.5D AS total_amount", "2 AS delivery_days", "1 AS on_time_flag",
+        "0 AS delay_flag", "4.0D AS review_score")
+    months.store_months(fact, lake_dir)
+    months.store_months(fact.where("month(purchase_timestamp) = 1"), lake_dir)
+    got = months.overview_months(spark, lake_dir, F.floor(F.col("month") / 100).cast("int"))
+    assert rows(got, "period", "total_orders", "unique_customers", "total_revenue") == [
+        (2018, 13, 5, 21.0), (2019, 1, 0, 2.0)]
+    some = months.overview_months(spark, lake_dir, F.when(
+        F.col("month").between(201801, 201802), "early"))
+    assert rows(some, "total_orders", "unique_customers") == [(9, 5)]
+    with pytest.raises(TypeError, match="integer ids"):
+        months.month_ids(fact.withColumn("order_id", F.col("order_id").cast("string")))
+
+
+def test_values_of_the_dashboard_are_never_text(spark, lake_dir):
+    from tidemart.plans import dashboard
+    from tidemart.sources.tables import database_at
+    db = database_at(spark, lake_dir)
+    from tidemart.specs import CONTRACT_DDL
+    for name, ddl in CONTRACT_DDL.items():
+        spark.createDataFrame([], ddl).write.saveAsTable(f"{db}.{name}")
+    dashboard.install(spark, db)
+    dashboard.install(spark, db)
+    for name in dashboard.FUNCTIONS:
+        assert dashboard.ask(spark, db, name).count() == (name == "overview")
+    for value in ("D'OESTE", "x' OR '1'='1", "'; DROP TABLE t", "\\"):
+        assert dashboard.ask(spark, db, "revenue_by_state", state=value).isEmpty()
+    with pytest.raises(ValueError, match="unknown question"):
+        dashboard.ask(spark, db, "x() UNION SELECT 1")

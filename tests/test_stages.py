@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemart.plans.stages import Lake, build_gold, export_warehouse, run_bronze, run_silver
 from tidemart.specs import ALL_SPECS, CONTRACT_DDL, REFERENCE_SPECS, TRANSACTIONAL_SPECS, contract
+from tidemart.plans.refresh import changed_orders, refresh_gold
 from tidemart.streaming.live import load_name, run_live
 from tidemart.sources.bronze import LIVE_BATCH, read_batch
 from tests.conftest import rows
@@ -98,12 +99,103 @@ def test_gold_and_warehouse(loaded):
     _, lake = loaded
     built = build_gold(lake).rows
     assert built["fact_order_items"] == 12 and set(built) == set(CONTRACT_DDL)
+    assert lake.read_gold("customer_metrics").columns == contract("customer_metrics").names
     assert rows(lake.gold("dim_sellers").read(), "seller_lat") == [(-23.6,)]
     tables = export_warehouse(lake)
     for name, df in tables.items():
         assert df.schema == contract(name) and df.count() == built[name]
 
 
+def test_the_fact_is_joined_without_a_shuffle(spark, loaded):
+    from tidemart.plans import gold
+    _, lake = loaded
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = gold.fact_order_items(*(lake.silver(n).read() for n in (
+            "orders", "order_items", "order_payments", "order_reviews")))
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("Bucketed: true") == 4
+        assert fact.count() == 12
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+
+
+def bytes_read(spark):
+    """Bytes that all stages so far have read from files."""
+    sc = spark.sparkContext
+    none, doubles = None, sc._gateway.new_array(sc._jvm.double, 0)
+    stages = sc._jsc.sc().statusStore().stageList(
+        none, False, False, doubles, sc._jvm.java.util.ArrayList())
+    return sum(stages.apply(i).inputBytes() for i in range(stages.size()))
+
+
+def metrics(lake):
+    return {n: rows(lake.read_gold(n)) for n in (
+        "fact_order_items", "order_summary", "customer_metrics", "seller_performance",
+        "product_performance")}
+
+
+def test_incremental_gold_equals_a_rebuild(spark, lake_dir):
+    raw = f"{lake_dir}/raw"
+    write_batches(spark, raw)
+    lake = Lake(spark, f"{lake_dir}/lake", buckets=4)
+    for b in "12":
+        run_bronze(lake, raw, b)
+        run_silver(lake, b)
+    build_gold(lake)
+    for b in "34":
+        run_bronze(lake, raw, b)
+        run_silver(lake, b)
+        changed = changed_orders(lake, f"batch_{b}")
+        refresh_gold(lake, changed, f"run-{b}")
+        once = metrics(lake)
+        refresh_gold(lake, changed, f"run-{b}")      # the same run again counts nothing twice
+        assert metrics(lake) == once
+    # an order moves to another customer and an earlier month: the old last date goes
+    live_csv(f"{lake_dir}/live", "20260101_000000",
+             [order(20, "moved", "2016-01-01 10:00:00") | {"customer_id": "c9"},
+              order(41, "late", "2015-01-01 10:00:00")])
+    orders_only = Lake(spark, lake.root, {}, ORDERS, buckets=4)
+    run_live(orders_only, f"{lake_dir}/live", f"{lake_dir}/offsets")
+    refresh_gold(lake, changed_orders(lake, LIVE_BATCH), "live-1")
+    grown = metrics(lake)
+    assert ("c9",) in [r[:1] for r in grown["customer_metrics"]]
+    build_gold(lake)
+    assert grown == metrics(lake)
+
+
+def test_a_small_change_reads_little(spark, lake_dir):
+    """One order or two thousand: a run reads the buckets of its orders, not the whole lake."""
+    lake = Lake(spark, f"{lake_dir}/lake", buckets=8)
+    at = "timestamp'2018-01-05' + make_interval(0, 0, 0, cast(id % 200 AS int))"
+    ids = spark.range(40_000).selectExpr("concat('o', id) AS order_id", "id")
+    lake.silver("orders").overwrite(ids.selectExpr(
+        "order_id", "concat('c', id % 9000) AS customer_id", "'x' AS order_status",
+        f"{at} AS order_purchase_timestamp", f"{at} AS order_approved_at",
+        f"{at} AS order_delivered_carrier_date", f"{at} AS order_delivered_customer_date",
+        f"{at} AS order_estimated_delivery_date"))
+    lake.silver("order_items").overwrite(ids.selectExpr(
+        "order_id", "1 AS order_item_id", "concat('p', id % 7000) AS product_id",
+        "concat('s', id % 5000) AS seller_id", "cast(id AS double) AS price",
+        "cast(rand(1) AS double) AS freight_value"))
+    lake.silver("order_payments").overwrite(ids.selectExpr(
+        "order_id", "1 AS payment_sequential", "'card' AS payment_type",
+        "1 AS payment_installments", "cast(rand(2) AS double) AS payment_value"))
+    lake.silver("order_reviews").overwrite(ids.selectExpr(
+        "concat('r', id) AS review_id", "order_id", "cast(1 + id % 5 AS int) AS review_score"))
+    build_gold(lake, ("fact_order_items", "order_summary", "customer_metrics",
+                      "seller_performance", "product_performance"))
+
+    def read_by(n):
+        before = bytes_read(spark)
+        refresh_gold(lake, ids.where(f"id % {40_000 // n} = 0").select("order_id"), f"run-{n}")
+        return bytes_read(spark) - before
+
+    one, many = read_by(1), read_by(2000)
+    assert one < many / 2, (one, many)
+
+
 def test_unknown_batch(spark, lake_dir):
     for stage in (lambda: run_bronze(small_lake(spark, lake_dir), lake_dir, "5"),
                   lambda: run_silver(small_lake(spark, lake_dir), "live")):
@@ -154,6 +246,91 @@ def test_live_files_are_processed_once_and_upserted(spark, lake_dir):
     assert "batch_id" not in lake.silver("orders").read().columns
 
 
+def test_a_row_that_arrives_again_is_stored_once(spark, lake_dir):
+    lake = Lake(spark, f"{lake_dir}/lake", {}, ORDERS, buckets=4)
+    live, offsets = f"{lake_dir}/live", f"{lake_dir}/offsets"
+    live_csv(live, "20260101_000000", [order(1), order(2), order(2)])
+    live_csv(live, "20260101_001000", [order(1), order(2, "delivered")])
+    once = dict(files_per_trigger=1, once_within="1 hour")
+    assert run_live(lake, live, offsets, **once) == {"orders": 3}
+    live_csv(live, "20260101_002000", [order(1), order(2, "delivered"), order(3)])
+    assert run_live(lake, live, offsets, **once) == {"orders": 1}
+    stored = read_batch(spark, lake.bronze_path("orders"), LIVE_BATCH)
+    assert rows(stored, "order_id", "order_status") == [
+        ("o1", "shipped"), ("o2", "delivered"), ("o2", "shipped"), ("o3", "shipped")]
+    assert lake.silver("orders").read().count() == 3
+
+
+def test_the_state_of_arrived_rows_is_bounded(spark, lake_dir):
+    import os
+    import time
+
+    from tidemart.streaming.live import ONCE, start_live
+    lake = Lake(spark, f"{lake_dir}/lake", {}, ORDERS, buckets=4)
+    live, now = f"{lake_dir}/live", time.time()
+    for i in range(4):
+        live_csv(live, f"20260101_00{i}000", [order(10 * i + k) for k in range(5)])
+        name = f"{live}/20260101_00{i}000_{ORDERS['orders'].source_file}"
+        os.utime(name, (now + i * 7200, now + i * 7200))
+    stream = start_live(lake, live, ORDERS["orders"], f"{lake_dir}/offsets", ONCE,
+                        files_per_trigger=1, merge=False, once_within="1 hour")
+    stream.awaitTermination()
+    held = [s["numRowsTotal"] for p in stream.recentProgress for s in p["stateOperators"]]
+    assert max(held) <= 10 and read_batch(
+        spark, lake.bronze_path("orders"), LIVE_BATCH).count() == 20
+
+
+def test_new_columns_are_rescued(spark, lake_dir):
+    import os
+    lake = Lake(spark, f"{lake_dir}/lake", {}, ORDERS, buckets=4)
+    live, offsets = f"{lake_dir}/live", f"{lake_dir}/offsets"
+    live_csv(live, "20260101_000000", [order(1)])
+    assert run_live(lake, live, offsets, evolving=True) == {"orders": 1}
+    names = ["channel", "order_status", "order_id", "Customer_ID"]
+    with open(f"{live}/20260101_001000_orders_dataset.csv", "w") as f:
+        f.write(",".join(names) + "\n" + 'app,"new, x",o2,007\n' + ",new,o3,8\n")
+    live_csv(live, "20260101_002000", [order(4)])
+    assert run_live(lake, live, offsets, evolving=True) == {"orders": 3}
+    assert os.path.isdir(f"{offsets}/orders")
+    stored = read_batch(spark, lake.bronze_path("orders"), LIVE_BATCH).selectExpr(
+        "order_id", "customer_id", "order_status",
+        "variant_get(rescued, '$.channel', 'string') AS channel")
+    assert rows(stored) == [("o1", "c1", "shipped", None), ("o2", "007", "new, x", "app"),
+                            ("o3", "8", "new", None), ("o4", "c1", "shipped", None)]
+    assert "rescued" not in lake.silver("orders").read().columns
+    assert lake.silver("orders").read().count() == 4
+
+
+def test_a_failing_read_raises_and_leaves_no_stream(spark, lake_dir):
+    from tidemart.streaming.live import live_counts
+    two = {n: TRANSACTIONAL_SPECS[n] for n in ("orders", "order_payments")}
+    lake = Lake(spark, f"{lake_dir}/lake", {}, two, buckets=4)
+    live = f"{lake_dir}/live"
+    live_csv(live, "20260101_000000", [order(1)])
+    with open(f"{live}/20260101_000000_order_payments_dataset.csv", "w") as f:
+        f.write("wrong,header\n1,2\n")
+    with pytest.raises(Exception):
+        run_live(lake, live, f"{lake_dir}/a")
+    assert lake.silver("orders").read().count() == 1 and not spark.streams.active
+    with pytest.raises(Exception):
+        live_counts(lake, live, f"{lake_dir}/b")
+    good = Lake(spark, lake.root, {}, ORDERS, buckets=4)
+    live_csv(live, "20260101_001000", [order(2), order(3)])
+    assert rows(live_counts(good, live, f"{lake_dir}/c", files_per_trigger=1)) == [
+        ("orders", 3, 2)]
+    assert rows(live_counts(good, live, f"{lake_dir}/c")) == [("orders", 0, 0)]
+
+
+def test_a_second_load_keeps_its_new_column(spark, lake_dir):
+    from tidemart.sources.bronze import write_batch
+    from tidemart.sources.csv import with_audit
+    first = with_audit(spark.createDataFrame([(1,)], "k int"), "live", "a", "f")
+    write_batch(first, lake_dir)
+    write_batch(with_audit(spark.createDataFrame([(2, "x")], "k int, extra string"),
+                           "live", "b", "f"), lake_dir)
+    assert rows(read_batch(spark, lake_dir, "live"), "k", "extra") == [(1, None), (2, "x")]
+
+
 def test_live_result_equals_batch_result(spark, lake_dir):
     data = [order(i) for i in range(5)]
     live_csv(f"{lake_dir}/live", "20260101_000000", data)

@@ -1,7 +1,7 @@
 """Money and rounding that give the same result in any row order.
 
 Adding doubles depends on the order in which tasks finish, and at 10^12 rows the
-error reaches the cents. Money is therefore added as decimals with six places, exact and
+error reaches the cents. Money is therefore added as decimals with nine places, exact and
 repeatable after a task retry, and rounded once, after the sum.
 """
 
@@ -10,19 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: 29 digits before the point: sums of sums fit as well.
+MONEY = "decimal(38,9)"
 
-def exact(c: Column | str) -> Column:
-    """A double as a decimal with six places, fit to be added up; NaN, infinities and
-    amounts of 10^12 or more count as NULL."""
-    c = F.col(c) if isinstance(c, str) else c
-    return c.try_cast("decimal(18,6)")
 
-
-def exact_total(c: Column | str) -> Column:
-    """A sum of amounts, kept as a double, as a decimal fit to be added up again: sums of
-    10^12 and more count too. NaN and infinities count as NULL."""
+def exact(c: Column | str) -> Column:
+    """A double as a decimal fit to be added up. NaN and infinities count as NULL; amounts of
+    10^29 or more raise an error (in ANSI mode) instead of dropping out of a sum."""
     c = F.col(c) if isinstance(c, str) else c
-    return c.try_cast("decimal(38,6)")
+    return F.nanvl(c, F.lit(None).cast("double")).cast(MONEY)
 
 
 def amount(total: Column, digits: int = 2) -> Column:
@@ -45,6 +41,12 @@ def ratio(num: Column, den: Column, digits: int | None = None) -> Column:
     return value if digits is None else F.round(F.round(value, 9), digits)
 
 
+def points(c: Column | str) -> Column:
+    """A score or count as a decimal: sums of it do not depend on the order of rows."""
+    c = F.col(c) if isinstance(c, str) else c
+    return c.try_cast("decimal(28,12)")
+
+
 def mean(c: Column | str, digits: int) -> Column:
     """Rounded average over non-NULL values (aggregate expression)."""
-    return F.round(F.round(F.avg(c), 9), digits)
+    return ratio(F.sum(points(c)), F.count(c), digits)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.functions.numbers import amount, exact, ratio
+from tidemart.functions.numbers import amount, exact, points, ratio
 from tidemart.plans.gold import order_level
 
 
@@ -60,7 +60,7 @@ def revenue(orders: DataFrame, items: DataFrame, payments: DataFrame,
     monthly = _months(
         per_order, F.sum("spent").alias("spent"),
         F.sum(exact("payment_value")).alias("paid"),
-        F.sum("review_score").alias("score"), F.count("review_score").alias("reviewed"))
+        F.sum(points("review_score")).alias("score"), F.count("review_score").alias("reviewed"))
     return monthly.groupBy("cohort", "month_offset").agg(
         F.sum("orders").alias("orders"),
         amount(F.sum("spent")).alias("revenue"),

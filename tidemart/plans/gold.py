@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.numbers import amount, exact, mean, mean_amount
+from tidemart.functions.numbers import amount, exact, mean, mean_amount, points, ratio
 from tidemart.operators.skew import HotSlots, skew_safe_join
 
 
@@ -88,16 +88,29 @@ def order_summary(fact: DataFrame) -> DataFrame:
         mean("delivery_days", 0).cast("int").alias("delivery_days"))
 
 
+def customer_state(fact: DataFrame) -> DataFrame:
+    """Sums and counts of a customer's lines, from which the metrics follow. All but the last
+    date can be added to and subtracted from: an order belongs to one customer."""
+    spent = exact("total_amount")
+    return fact.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("lines"), F.count_distinct("order_id").alias("orders"),
+        F.sum(spent).alias("spent"), F.count(spent).alias("spent_n"),
+        F.sum(points("review_score")).alias("score"), F.count("review_score").alias("score_n"),
+        F.max("purchase_timestamp").alias("last_order_date"))
+
+
+def customers_of(state: DataFrame) -> DataFrame:
+    return state.select(
+        "customer_id", F.col("orders").alias("total_orders"),
+        amount(F.when(F.col("spent_n") > 0, F.col("spent"))).alias("total_spent"),
+        mean_amount(F.col("spent"), F.col("spent_n")).alias("avg_order_value"),
+        "last_order_date", ratio(F.col("score"), F.col("score_n"), 1).alias("avg_review_score"))
+
+
 def customer_metrics(fact: DataFrame) -> DataFrame:
     """Lifetime value. ``avg_order_value`` is the mean per order line, as published; see
     ``order_value_per_customer`` for the mean per order."""
-    spent = exact("total_amount")
-    return fact.groupBy("customer_id").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        amount(F.sum(spent)).alias("total_spent"),
-        mean_amount(F.sum(spent), F.count(spent)).alias("avg_order_value"),
-        F.max("purchase_timestamp").alias("last_order_date"),
-        mean("review_score", 1).alias("avg_review_score"))
+    return customers_of(customer_state(fact))
 
 
 def order_value_per_customer(fact: DataFrame) -> DataFrame:
@@ -107,24 +120,50 @@ def order_value_per_customer(fact: DataFrame) -> DataFrame:
         mean_amount(F.sum(spent), F.count_distinct("order_id")).alias("avg_per_order"))
 
 
+def seller_state(fact: DataFrame) -> DataFrame:
+    """Sums and counts of a seller's lines."""
+    return fact.groupBy("seller_id").agg(
+        F.count(F.lit(1)).alias("lines"), F.count_distinct("order_id").alias("orders"),
+        F.sum(exact("price")).alias("revenue"), F.count("price").alias("revenue_n"),
+        F.sum(points("review_score")).alias("score"), F.count("review_score").alias("score_n"),
+        F.sum("on_time_flag").alias("on_time"), F.count("on_time_flag").alias("on_time_n"),
+        F.sum("delivery_days").alias("days"), F.count("delivery_days").alias("days_n"))
+
+
+def sellers_of(state: DataFrame) -> DataFrame:
+    return state.select(
+        "seller_id", F.col("orders").alias("total_orders"),
+        amount(F.when(F.col("revenue_n") > 0, F.col("revenue"))).alias("total_revenue"),
+        ratio(F.col("score"), F.col("score_n"), 2).alias("avg_review_score"),
+        F.round(F.col("on_time") * F.lit(100.0) / F.nullif(F.col("on_time_n"), F.lit(0)), 1)
+        .alias("on_time_delivery_rate"),
+        ratio(F.col("days"), F.col("days_n"), 1).alias("avg_delivery_days"))
+
+
 def seller_performance(fact: DataFrame) -> DataFrame:
     """Undelivered lines (NULL flags) count neither as on time nor as late."""
-    return fact.groupBy("seller_id").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        amount(F.sum(exact("price"))).alias("total_revenue"),
-        mean("review_score", 2).alias("avg_review_score"),
-        F.round(F.sum("on_time_flag") * F.lit(100.0)
-                / F.nullif(F.count("on_time_flag"), F.lit(0)), 1).alias("on_time_delivery_rate"),
-        mean("delivery_days", 1).alias("avg_delivery_days"))
+    return sellers_of(seller_state(fact))
 
 
-def product_performance(fact: DataFrame) -> DataFrame:
+def product_state(fact: DataFrame) -> DataFrame:
+    """Sums and counts of a product's lines."""
     price = exact("price")
     return fact.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("total_quantity"),
-        amount(F.sum(price)).alias("total_sales"),
-        mean_amount(F.sum(price), F.count(price)).alias("avg_price"),
-        mean("review_score", 2).alias("avg_review_score"))
+        F.count(F.lit(1)).alias("lines"), F.sum(price).alias("sales"),
+        F.count(price).alias("sales_n"),
+        F.sum(points("review_score")).alias("score"), F.count("review_score").alias("score_n"))
+
+
+def products_of(state: DataFrame) -> DataFrame:
+    return state.select(
+        "product_id", F.col("lines").alias("total_quantity"),
+        amount(F.when(F.col("sales_n") > 0, F.col("sales"))).alias("total_sales"),
+        mean_amount(F.col("sales"), F.col("sales_n")).alias("avg_price"),
+        ratio(F.col("score"), F.col("score_n"), 2).alias("avg_review_score"))
+
+
+def product_performance(fact: DataFrame) -> DataFrame:
+    return products_of(product_state(fact))
 
 
 def unmatched_customers(fact: DataFrame, customers: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemart.functions.numbers import amount, exact, exact_total, mean, mean_amount, ratio
+from tidemart.functions.numbers import amount, exact, mean, mean_amount, points, ratio
 from tidemart.functions.text import mask_id
 from tidemart.operators.histogram import equal_width
 
@@ -34,7 +34,7 @@ def per_customer(fact: DataFrame) -> DataFrame:
         F.sum("delivery_days").alias("days"), F.count("delivery_days").alias("days_n"),
         F.sum("on_time_flag").alias("on_time"), F.count("on_time_flag").alias("on_time_n"),
         F.sum(F.when(F.col("delay_flag") == 1, 1).otherwise(0)).alias("late"),
-        F.sum("review_score").alias("score"), F.count("review_score").alias("score_n"))
+        F.sum(points("review_score")).alias("score"), F.count("review_score").alias("score_n"))
 
 
 def with_state(measures: DataFrame, customers: DataFrame, state: str | None = None) -> DataFrame:
@@ -139,11 +139,13 @@ def delay_by_score(fact: DataFrame) -> DataFrame:
 
 
 def delay_score_pivot(fact: DataFrame) -> DataFrame:
-    """Delay flag by score, 0 where a pair does not occur."""
+    """Delay flag by score, 0 where a pair does not occur. Scores outside 1 to 5 count as
+    ``score_other``."""
     scores = [1, 2, 3, 4, 5]
-    wide = delay_by_score(fact).groupBy("delay_flag").pivot("score", scores).agg(F.sum("cnt"))
-    return wide.na.fill(0).select(
-        "delay_flag", *(F.col(f"`{s}`").alias(f"score_{s}") for s in scores))
+    one = lambda test: F.coalesce(F.sum(F.when(test, F.col("cnt"))), F.lit(0))
+    return delay_by_score(fact).groupBy("delay_flag").agg(
+        *(one(F.col("score") == s).alias(f"score_{s}") for s in scores),
+        one(~F.col("score").isin(scores)).alias("score_other"))
 
 
 def state_share(fact: DataFrame, customers: DataFrame) -> DataFrame:
@@ -208,7 +210,7 @@ def category_performance(products: DataFrame, dim_products: DataFrame,
     """Sales per category. The averages are unweighted means of the product means."""
     joined = products.join(dim_products.select("product_id", "product_category_name_english"),
                            "product_id")
-    sales, price = exact_total("total_sales"), exact("avg_price")
+    sales, price = exact("total_sales"), exact("avg_price")
     return (joined.groupBy(F.coalesce("product_category_name_english", F.lit("Unknown"))
                            .alias("category"))
             .agg(amount(F.sum(sales), 0).alias("total_sales"),
@@ -271,7 +273,7 @@ SELECT c.customer_state AS state,
        cast(round(sum(m.spent), 0) AS double) AS revenue,
        sum(m.orders) AS orders
 FROM (SELECT customer_id, count(DISTINCT order_id) AS orders,
-             sum(try_cast(total_amount AS decimal(18,6))) AS spent
+             sum(cast(nanvl(total_amount, NULL) AS decimal(38,9))) AS spent
       FROM {fact}
       WHERE review_score BETWEEN :low AND :high
       GROUP BY customer_id) m
@@ -284,7 +286,7 @@ LIMIT 15
 
 STATUS_REVENUE_SQL = """
 SELECT order_status,
-       cast(round(sum(try_cast(total_amount AS decimal(18,6))), 0) AS double) AS revenue
+       cast(round(sum(cast(nanvl(total_amount, NULL) AS decimal(38,9))), 0) AS double) AS revenue
 FROM {order_summary}
 WHERE :status IS NULL OR order_status = :status
 GROUP BY order_status

@@ -9,31 +9,33 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.functions.rules import apply_rules
 from tidemart.operators.clean import clean
 from tidemart.operators.skew import hot_slots
 from tidemart.plans import gold
+from tidemart.plans.refresh import ROLLUPS, stored_state
 from tidemart.sources.bronze import has_batch, read_batch, write_batch
 from tidemart.sources.csv import batch_path, scan_csv, with_audit
 from tidemart.sources.ledger import Ledger
-from tidemart.sources.publish import publish, published
-from tidemart.sources.snapshots import SnapshotTable, read_first
+from tidemart.sources.publish import name_in_catalog, publish, published
+from tidemart.sources.tables import StoredTable, database_at, read_first
 from tidemart.specs import (
     CONTRACT_DDL, REFERENCE_SPECS, TRANSACTIONAL_SPECS, TableSpec, contract,
 )
 
 BATCHES = ("1", "2", "3", "4")
+#: Keys of the star-schema tables that grow with the orders.
+GOLD_KEYS = {"fact_order_items": ("order_id", "order_item_id"), "order_summary": ("order_id",),
+             **{name: (r.key,) for name, r in ROLLUPS.items()}}
 
 
 @dataclass
 class Lake:
     """Where the layers live and which specs they follow.
 
-    ``buckets`` splits each growing curated table; choose it so that a bucket is a few
-    GB, since an upsert rewrites whole buckets, and so that it divides
+    ``buckets`` divides each growing table; choose it so that a bucket is about a task's
+    share, since joins of the layers run bucket by bucket, and as the number of
     ``spark.sql.shuffle.partitions``. ``stamp_live`` adds ``cdc_merge_timestamp`` to rows
-    that came by the live path, which also merges the files of a bucket once it has
-    more than ``max_loads`` loads.
+    that came by the live path.
     """
 
     spark: SparkSession
@@ -42,24 +44,37 @@ class Lake:
     transactional: Mapping[str, TableSpec] = field(default_factory=lambda: TRANSACTIONAL_SPECS)
     buckets: int = 64
     stamp_live: bool = False
-    max_loads: int = 32
+
+    def __post_init__(self) -> None:
+        self.database = database_at(self.spark, self.root)
+
+    def _table(self, layer: str, name: str, **layout) -> StoredTable:
+        return StoredTable(self.spark, f"{self.database}.{layer}_{name}",
+                           f"{self.root}/{layer}/{name}", buckets=self.buckets, **layout)
 
     def bronze_path(self, name: str) -> str:
         return f"{self.root}/bronze/{name}"
 
-    def bronze_table(self, name: str) -> SnapshotTable:
-        """Raw reference table: one load, always replaced."""
-        return SnapshotTable(self.spark, self.bronze_path(name))
+    def bronze_table(self, name: str) -> StoredTable:
+        """Raw reference table: always replaced."""
+        return self._table("bronze", name)
 
-    def silver(self, name: str) -> SnapshotTable:
+    def silver(self, name: str) -> StoredTable:
         spec = self.transactional.get(name)
-        if spec:
-            return SnapshotTable(self.spark, f"{self.root}/silver/{name}", spec.merge_keys,
-                                 self.buckets)
-        return SnapshotTable(self.spark, f"{self.root}/silver/{name}")
+        if not spec:
+            return self._table("silver", name)
+        return self._table("silver", name, keys=spec.merge_keys, cluster=spec.cluster,
+                           month=spec.month)
+
+    def gold(self, name: str) -> StoredTable:
+        """A star-schema table as it is stored; rollups as sums and counts."""
+        return self._table("gold", name, keys=GOLD_KEYS.get(name, ()))
 
-    def gold(self, name: str) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root}/gold/{name}")
+    def read_gold(self, name: str) -> DataFrame:
+        rows = self.gold(name).read()
+        if name not in ROLLUPS:
+            return rows
+        return ROLLUPS[name].metrics(rows.where("lines > 0"))
 
     def export_path(self, name: str) -> str:
         return f"{self.root}/warehouse/{name}"
@@ -141,16 +156,18 @@ def run_silver(lake: Lake, batch: str) -> StageResult:
         if spec.lookup:
             lookup = read_first(lake.silver(spec.lookup.table),
                                 lake.bronze_table(spec.lookup.table))
-        return lake.silver(name).overwrite(clean(lake.bronze_table(name).read(), spec, lookup))
+        table = lake.silver(name)
+        rows = table.overwrite(clean(lake.bronze_table(name).read(), spec, lookup))
+        table.analyze(*spec.merge_keys)     # others look values up by these
+        return rows
 
     def transactional(name: str, spec: TableSpec) -> int:
         raw = read_batch(lake.spark, lake.bronze_path(name), batch_id)
         rows = clean(raw, spec)
         unique = spec.unique_keys == spec.merge_keys
         if batch == "1":
-            return lake.silver(name).overwrite(rows, by_key=unique)
-        return lake.silver(name).upsert(rows, spec.version, unique=unique,
-                                        key_rows=apply_rules(raw, spec.rules))
+            return lake.silver(name).overwrite(rows)
+        return lake.silver(name).upsert(rows, spec.version, unique=unique)
 
     first = {n: partial(transactional, n, s) for n, s in lake.transactional.items()
              if has_batch(lake.spark, lake.bronze_path(n), batch_id)}
@@ -165,7 +182,8 @@ def run_silver(lake: Lake, batch: str) -> StageResult:
 
 def build_gold(lake: Lake, names: tuple[str, ...] = tuple(CONTRACT_DDL)) -> StageResult:
     """Rebuild the star schema. The aggregates read the stored fact, so it is computed
-    once."""
+    once. Orders, lines, payments and reviews are stored in the same buckets of ``order_id``,
+    so the fact is joined without a shuffle; only hot orders are spread by one."""
     result = StageResult()
     read = lambda n: lake.silver(n).read()
 
@@ -175,6 +193,7 @@ def build_gold(lake: Lake, names: tuple[str, ...] = tuple(CONTRACT_DDL)) -> Stag
                                      read("order_reviews"), hot_slots(items, ["order_id"]))
 
     stored_fact = lambda: lake.gold("fact_order_items").read()
+    rolled = lambda name: lambda: stored_state(ROLLUPS[name], stored_fact())
     builders = {
         "dim_customers": lambda: read("customers"),
         "dim_sellers": lambda: gold.dim_sellers(read("sellers"), read("geolocation")),
@@ -182,12 +201,9 @@ def build_gold(lake: Lake, names: tuple[str, ...] = tuple(CONTRACT_DDL)) -> Stag
         "dim_geolocation": lambda: read("geolocation"),
         "fact_order_items": fact,
         "order_summary": lambda: gold.order_summary(stored_fact()),
-        "customer_metrics": lambda: gold.customer_metrics(stored_fact()),
-        "seller_performance": lambda: gold.seller_performance(stored_fact()),
-        "product_performance": lambda: gold.product_performance(stored_fact()),
+        **{name: rolled(name) for name in ROLLUPS},
     }
-    from_fact = ("order_summary", "customer_metrics", "seller_performance",
-                 "product_performance")
+    from_fact = ("order_summary", *ROLLUPS)
     for stage in ([n for n in names if n not in from_fact], [n for n in names if n in from_fact]):
         side_by_side({n: partial(lambda n: lake.gold(n).overwrite(builders[n]()), n)
                       for n in stage}, result)
@@ -196,11 +212,18 @@ def build_gold(lake: Lake, names: tuple[str, ...] = tuple(CONTRACT_DDL)) -> Stag
 
 
 def export_warehouse(lake: Lake) -> dict[str, DataFrame]:
-    """Load every star-schema table into its typed contract, bad rows set aside."""
+    """Load every star-schema table into its typed contract, bad rows set aside, and name the
+    loaded rows in the lake's database, as the dashboard functions ask for them. A table
+    whose load fails keeps its old rows; the others are loaded."""
     loaded = StageResult()
-    side_by_side({n: partial(lambda n: publish(lake.gold(n).read(), contract(n),
-                                               lake.export_path(n)), n)
-                  for n in CONTRACT_DDL}, loaded)
+
+    def load(name: str) -> int:
+        rows = publish(lake.read_gold(name), contract(name), lake.export_path(name))
+        name_in_catalog(lake.spark, lake.export_path(name), contract(name),
+                        f"{lake.database}.{name}")
+        return rows
+
+    side_by_side({n: partial(load, n) for n in CONTRACT_DDL}, loaded)
     raise_first(loaded)
     return {name: published(lake.spark, lake.export_path(name), contract(name))
             for name in CONTRACT_DDL}

@@ -22,10 +22,11 @@ def write_batch(df: DataFrame, path: str) -> int:
 def read_batch(spark: SparkSession, path: str, batch_id: str,
                load_id: str | None = None) -> DataFrame:
     """Rows of one batch. Only its partition folder is listed and read, and the columns
-    are those of its own files, so a column new in this batch is seen without merging
+    are those of all its own loads, so a column new in one of them is seen without merging
     the footers of the whole table."""
     folder = f"{path}/batch_id={batch_id}" + (f"/load_id={load_id}" if load_id else "")
-    return spark.read.option("basePath", path).parquet(folder)
+    return spark.read.option("basePath", path).option(
+        "mergeSchema", load_id is None).parquet(folder)
 
 
 def has_batch(spark: SparkSession, path: str, batch_id: str) -> bool:

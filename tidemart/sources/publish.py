@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.operators.counting import counted, rows_seen
+from tidemart.sources.tables import StoredTable, database_at, quoted
 
 LOADED, REJECTED = "loaded", "rejected"
 
@@ -40,27 +40,34 @@ def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
         F.when(rejected, F.lit(REJECTED)).otherwise(F.lit(LOADED)).alias("load_status"))
 
 
+def _stored(spark: SparkSession, path: str) -> StoredTable:
+    return StoredTable(spark, f"{database_at(spark, path)}.published", path)
+
+
 def publish(df: DataFrame, contract: T.StructType, path: str) -> int:
-    """Write one table in a single pass: good and bad rows part at the writer into
-    ``load_status=loaded`` and ``load_status=rejected``. Returns the rows written."""
-    out, seen = counted(conform(df, contract), "publish")
-    out.write.mode("overwrite").partitionBy("load_status").parquet(path)
-    return rows_seen(seen)
+    """Write one table in a single pass, good and bad rows told apart by ``load_status``. The
+    rows go to a folder of their own, and the catalog is switched to it when all are
+    written: a failed job leaves the old table. Returns the rows written."""
+    return _stored(df.sparkSession, path).overwrite(conform(df, contract))
 
 
-def _read(spark: SparkSession, path: str, contract: T.StructType, status: str) -> DataFrame:
-    schema = T.StructType(contract.fields + [
-        T.StructField("failed_columns", T.StringType()), T.StructField("raw_row", T.StringType()),
-        T.StructField("load_status", T.StringType())])
-    return spark.read.schema(schema).parquet(path).where(F.col("load_status") == status)
+def _read(spark: SparkSession, path: str, status: str) -> DataFrame:
+    return _stored(spark, path).read().where(F.col("load_status") == status)
 
 
 def published(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
-    return _read(spark, path, contract, LOADED).select(*contract.fieldNames())
+    return _read(spark, path, LOADED).select(*contract.fieldNames())
 
 
 def quarantined(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
-    return _read(spark, path, contract, REJECTED).select("failed_columns", "raw_row")
+    return _read(spark, path, REJECTED).select("failed_columns", "raw_row")
+
+
+def name_in_catalog(spark: SparkSession, path: str, contract: T.StructType, view: str) -> None:
+    """A view of the loaded rows; it follows the table from one load to the next."""
+    columns = ", ".join(f"`{c}`" for c in contract.fieldNames())
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {columns} FROM "
+              f"{_stored(spark, path).name} WHERE load_status = {quoted(LOADED)}")
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

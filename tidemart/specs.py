@@ -63,7 +63,8 @@ class TableSpec:
     """Everything the pipeline knows about one source table.
 
     ``version`` names the column that makes a row newer than another with the
-    same key; without it the latest ingestion wins.
+    same key; without it the latest ingestion wins. Stored rows are clustered by
+    ``cluster`` (by default the first merge key) and partitioned by the months of ``month``.
     """
 
     name: str
@@ -75,6 +76,8 @@ class TableSpec:
     lookup: Lookup | None = None
     collapse: Collapse | None = None
     version: str | None = None
+    cluster: tuple[str, ...] = ()
+    month: str | None = None
     csv_options: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -156,7 +159,7 @@ TRANSACTIONAL_SPECS = {s.name: s for s in (
         ("order_id", "customer_id", "order_status", "order_purchase_timestamp",
          "order_approved_at", "order_delivered_carrier_date",
          "order_delivered_customer_date", "order_estimated_delivery_date"),
-        merge_keys=("order_id",), dedup_keys=("order_id",),
+        merge_keys=("order_id",), dedup_keys=("order_id",), month="order_purchase_timestamp",
         rules=_rules("to_timestamp", "order_purchase_timestamp", "order_approved_at",
                      "order_delivered_carrier_date", "order_delivered_customer_date",
                      "order_estimated_delivery_date"),
@@ -181,7 +184,7 @@ TRANSACTIONAL_SPECS = {s.name: s for s in (
         "order_reviews", "order_reviews_dataset.csv",
         ("review_id", "order_id", "review_score", "review_comment_title",
          "review_comment_message", "review_creation_date", "review_answer_timestamp"),
-        merge_keys=("review_id",), dedup_keys=("review_id",),
+        merge_keys=("review_id",), dedup_keys=("review_id",), cluster=("order_id",),
         rules=_rules("cast_int", "review_score")
         + _rules("fill_null", "review_comment_title", "review_comment_message")
         + _rules("to_timestamp", "review_creation_date", "review_answer_timestamp"),

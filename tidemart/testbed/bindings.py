@@ -94,6 +94,28 @@ RAW = {
         SELECT -1 - o_orderkey AS order_id, o_custkey AS customer_id, 'N' AS order_status,
                o_orderdate - INTERVAL '400' DAY AS order_purchase_timestamp
         FROM {orders} WHERE o_orderpriority = '1-URGENT'""",
+    # lines are repriced and added, payments refunded, reviews changed to a later answer
+    "live_order_items": """
+        SELECT DISTINCT l_orderkey AS order_id, cast(2 AS int) AS order_item_id,
+               cast(1 AS bigint) AS product_id, cast(1 AS bigint) AS seller_id,
+               cast(9.5 AS double) AS price, cast(0.5 AS double) AS freight_value
+        FROM {lineitem} WHERE l_linenumber = 2 AND l_orderkey % 7 = 0
+        UNION ALL
+        SELECT o_orderkey, cast(50 AS int), o_orderkey % 90, o_orderkey % 9,
+               cast(20.25 AS double), cast(0.25 AS double)
+        FROM {orders} WHERE o_orderkey % 50 = 0""",
+    "live_order_payments": """
+        SELECT cast(floor(event_id / 2) AS bigint) AS order_id,
+               cast(event_id % 2 + 1 AS int) AS payment_sequential, 'refund' AS payment_type,
+               cast(1 AS int) AS payment_installments, cast(5.25 AS double) AS payment_value
+        FROM {events} WHERE event_type IN ('purchase', 'click', 'error') AND event_id % 9 = 0""",
+    "live_order_reviews": """
+        SELECT event_id AS review_id, cast(floor(event_id / 2) AS bigint) AS order_id,
+               cast(1 AS int) AS review_score, 'later' AS review_comment_title,
+               'it broke' AS review_comment_message,
+               date_trunc('second', ts) AS review_creation_date,
+               date_trunc('second', ts) + INTERVAL '400' DAY AS review_answer_timestamp
+        FROM {events} WHERE event_type IN ('view', 'signup') AND event_id % 9 = 1""",
     "state_regions": """
         SELECT upper(n_name) AS state, r_name AS region
         FROM {nation} JOIN {region} ON n_regionkey = r_regionkey""",

@@ -214,6 +214,39 @@ CTES |= {
 
 CTES["text_fact"] = CTES["fact"].replace("s_items", "text_items")
 
+# the tables after the live feed, and the fact made from them
+CTES |= {
+    "l_orders": """
+        SELECT * FROM s_orders WHERE order_id NOT IN (SELECT order_id FROM raw_live_orders)
+        UNION ALL BY NAME SELECT * FROM raw_live_orders""",
+    "l_items": """
+        SELECT * EXCLUDE (shipped_at) FROM text_items
+        WHERE (order_id, order_item_id) NOT IN (
+            SELECT (order_id, order_item_id) FROM raw_live_order_items)
+        UNION ALL BY NAME SELECT * FROM raw_live_order_items""",
+    "l_items_numbers": """
+        SELECT * EXCLUDE (shipped_at) FROM s_items
+        WHERE (order_id, order_item_id) NOT IN (
+            SELECT (order_id, order_item_id) FROM raw_live_order_items)
+        UNION ALL BY NAME SELECT * FROM raw_live_order_items""",
+    "l_payments": """
+        SELECT * FROM s_payments WHERE (order_id, payment_sequential) NOT IN (
+            SELECT (order_id, payment_sequential) FROM raw_live_order_payments)
+        UNION ALL BY NAME SELECT * FROM raw_live_order_payments""",
+    "l_reviews": """
+        SELECT * FROM s_reviews WHERE review_id NOT IN (
+            SELECT review_id FROM raw_live_order_reviews)
+        UNION ALL BY NAME SELECT * FROM raw_live_order_reviews""",
+    "l_pay": CTES["pay"].replace("s_payments", "l_payments"),
+    "l_rev": CTES["rev"].replace("s_reviews", "l_reviews"),
+    "l_fact": CTES["fact"].replace("s_items", "l_items").replace("s_orders", "l_orders")
+    .replace("JOIN pay", "JOIN l_pay pay").replace("JOIN rev", "JOIN l_rev rev"),
+    # the published customers of the dashboard: a state with a quote in its name
+    "w_customers": """
+        SELECT * REPLACE (CASE WHEN customer_state = 'NATION_3' THEN 'D''OESTE'
+                               ELSE customer_state END AS customer_state) FROM s_customers""",
+}
+
 
 def compose(body: str) -> str:
     """``body`` preceded by the CTEs it needs, directly or indirectly."""
