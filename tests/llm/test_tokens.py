@@ -51,6 +51,30 @@ def test_counts_of_any_text(reference, text):
         len(want(reference["byte_bpe_50k.json"], [text])[0])]
 
 
+#: Letters that the normalizer takes apart or changes, with marks and stops around.
+AWKWARD = ["İ", "ı", "ß", "ẞ", "ς", "Σ", "é", "e\u0301", "\u0301", "क़", "ড়", "ਲ਼", "ଡ଼", "क", "़",
+           "ﬁ", "Å", "\u212b", "日", "ア", "か\u3099", "한", "\u1112\u1161", "א", "שׁ", "a", "Z",
+           ".", ",", ".,", " ", "\n", "'s", "<|", "1", "٣", "\u200d", "-", "🙂"]
+
+
+@settings(max_examples=800, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(AWKWARD), st.characters(codec="utf-8")), max_size=14
+                ).map("".join))
+def test_ids_of_any_text(reference, text):
+    found = packing.ids(vocabulary("word_bpe_49k.json")).encode([text])[0]
+    assert np.frombuffer(found, "<u4").tolist() == want(reference["word_bpe_49k.json"], [text])[0]
+
+
+def test_stops_after_every_letter(reference):
+    letters = [c for c in map(chr, range(0x30000)) if c.isalpha() and not "\ud800" <= c <= "\udfff"]
+    texts = [f"x{c}{end} " for c in letters for end in (".", ",")]
+    encoder = packing.Ids(vocabulary("word_bpe_49k.json"))
+    joined = [" ".join(texts[i:i + 400]) for i in range(0, len(texts), 400)]
+    ids = want(reference["word_bpe_49k.json"], joined)
+    for text, right, found in zip(joined, ids, encoder.encode(joined)):
+        assert np.frombuffer(found, "<u4").tolist() == right, text
+
+
 def test_empty_tables(frame):
     assert tokens.token_counts(frame([]), vocabulary("byte_bpe_50k.json")).count() == 0
     assert packing.pack(frame([]), vocabulary("word_bpe_49k.json")).count() == 0

@@ -10,6 +10,7 @@ pieces of their length, and the rank names the pattern, the sequence and the off
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
@@ -51,6 +52,7 @@ class Ids:
                                 for i in range(size)])
         self.known: dict[str, bytes] = {}
         self.stems: dict[str, bytes] = {}
+        self.apart: dict[str, bool] = {}
         for probe in ("a b", "A\nb,"):
             if self._encode([probe]) != self.encode([probe]):
                 raise ValueError(f"{path}: not a vocabulary of lower-case words")
@@ -74,12 +76,20 @@ class Ids:
                 out += self._encode(part)
         return out
 
-    @staticmethod
-    def _stem(word: str) -> tuple[str, str]:
-        """A word in lower case and the full stop or comma after its last letter. A letter
-        and a mark are never in one token, and the vocabulary is in lower case."""
+    def _ends_apart(self, letter: str) -> bool:
+        """Whether a full stop after this letter is a token of its own. It is not after letters
+        that are taken apart into a letter and a mark, as the mark joins the stop."""
+        if letter not in self.apart:
+            both, alone, stop = self._encode([letter + ".", letter, "."])
+            last = unicodedata.normalize("NFC", letter).lower()[-1]
+            self.apart[letter] = both == alone + stop and last.isalpha()
+        return self.apart[letter]
+
+    def _stem(self, word: str) -> tuple[str, str]:
+        """A word in lower case and the full stop or comma after its last letter, where the
+        two are never in one token; the vocabulary is in lower case."""
         end = ""
-        if word[-1:] in (".", ",") and word[-2:-1].isalpha():
+        if word[-1:] in (".", ",") and word[-2:-1].isalpha() and self._ends_apart(word[-2]):
             word, end = word[:-1], word[-1]
         return (word.lower() if word.isascii() and "<|" not in word else word), end
 
@@ -114,19 +124,21 @@ def ids(path: str) -> Ids:
 
 
 def pieces(docs: DataFrame, path: str, size: int, end_id: int, key: str, text: str) -> DataFrame:
-    """``key, start, length, ids_crc32, doc_tokens``: each document's ids and ``end_id``, cut."""
+    """``key, start, length, ids_crc32, doc_tokens``: each document's ids and ``end_id``, cut.
+    ``_deal`` spreads rows that are equal otherwise."""
     schema = T.StructType([docs.schema[key], *(T.StructField(n, T.LongType()) for n in (
-        "start", "length", "ids_crc32", "doc_tokens"))])
+        "start", "length", "ids_crc32", "doc_tokens", "_deal"))])
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ids(path)
+        encoder, seen = ids(path), 0
         for batch in slices(batches, 1, 2 << 20):
             texts = pc.fill_null(batch.column(1), "").to_pylist()
-            out = [(row, at // 4, len(cut) // 4, zlib.crc32(cut), len(data) // 4)
+            out = [(row, at // 4, len(cut) // 4, zlib.crc32(cut), len(data) // 4, seen + row)
                    for row, data in enumerate(x + end for x in encoder.encode(texts))
                    for at in range(0, len(data), 4 * size)
                    for cut in [data[at:at + 4 * size]]]
+            seen += batch.num_rows
             row, *rest = (pa.array(c, pa.int64()) for c in zip(*out))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(row), *rest], names=schema.names)
@@ -184,7 +196,8 @@ def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int = 1, key: str
     """``key, start, length, ids_crc32, doc_tokens, sequence_id, offset`` per piece.
 
     Every id of every row lies in one piece; a null or empty text is its ``end_id`` alone.
-    Repeated rows are packed as often as they come; null keys stay. Only the histogram, at
+    Repeated rows are packed as often as they come; null keys stay; other columns are ignored;
+    an empty table gives no rows; texts of any length are cut into pieces. Only the histogram, at
     most ``size`` rows, reaches the driver, and only its patterns go to the tasks.
     """
     cut = stored(pieces(docs, path, size, end_id, key, text), "pieces")
@@ -192,15 +205,17 @@ def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int = 1, key: str
     groups = min(4096, max(8, sum(counts.values()) // _GROUP))
     places = _places(pack_histogram(counts, size))
 
-    dealt = cut.withColumn("_g", F.pmod(F.xxhash64(key, "start", "ids_crc32"), F.lit(groups)))
+    dealt = cut.withColumn("_g", F.pmod(F.xxhash64(key, "start", "ids_crc32", "_deal"),
+                                        F.lit(groups))).drop("_deal")
+    columns = [c for c in cut.columns if c != "_deal"]
     before = dealt.groupBy("length", "_g").agg(F.count(F.lit(1)).alias("_n")).withColumn(
         "_before", F.sum("_n").over(
             W.partitionBy("length").orderBy("_g").rowsBetween(W.unboundedPreceding, -1)))
     ranked = dealt.withColumn("_r", F.row_number().over(
         W.partitionBy("length", "_g").orderBy(key, "start", "ids_crc32"))).join(
         before.select("length", "_g", "_before"), ["length", "_g"]).select(
-        *cut.columns, (F.col("_r") - 1 + F.coalesce("_before", F.lit(0))).alias("_rank"))
-    schema = T.StructType([*cut.schema, T.StructField("sequence_id", T.LongType()),
+        *columns, (F.col("_r") - 1 + F.coalesce("_before", F.lit(0))).alias("_rank"))
+    schema = T.StructType([*(cut.schema[c] for c in columns), T.StructField("sequence_id", T.LongType()),
                            T.StructField("offset", T.LongType())])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
