@@ -1062,7 +1062,7 @@ def filled_lake(r: Retail, label: str, batches=BATCHES) -> Lake:
     root = scratch_dir(r.spark, label)
     export_batches(r, f"{root}/raw")
     lake = Lake(r.spark, f"{root}/lake", {n: SPECS[n] for n in REFERENCE_SPECS},
-                {n: SPECS[n] for n in TRANSACTIONAL_SPECS}, buckets=8)
+                {n: SPECS[n] for n in TRANSACTIONAL_SPECS}, buckets=4)
     for n in batches:
         raise_first(run_bronze(lake, f"{root}/raw", n))
         run_silver(lake, n)
@@ -1173,7 +1173,7 @@ def _(r):
     root = lake.root[:-len("/lake")]
     for name in LIVE_SPECS:
         drop_live_table(r, name, root, "20260101_000000")
-    live = Lake(r.spark, lake.root, {}, LIVE_SPECS, buckets=8)
+    live = Lake(r.spark, lake.root, {}, LIVE_SPECS, buckets=4)
     run_live(live, f"{root}/live", f"{root}/offsets")
     refresh_gold(live, changed_orders(live, LIVE_BATCH), "live")
     return typed_ids(lake.gold("fact_order_items").read())
