@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import math
 import random
+import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -43,39 +45,82 @@ def test_scores_equal_plain_counts(frame, small_docs, monkeypatch):
 # ------------------------------------------------------------- benchmark leaks
 
 def plain_tiles(doc, item, least):
-    """Greedy string tiling by trying all pairs of positions."""
-    size, out = min(least, len(item)), []
-    used_d, used_i = set(), set()
+    """Greedy string tiling by trying all pairs of positions; of equally long runs that which
+    comes first in the item, then in the doc."""
+    size, out = max(1, min(least, len(item))), []
+    doc, item = list(doc), list(item)
     while True:
         best = (0, 0, 0)
-        for x in range(len(doc)):
-            for y in range(len(item)):
-                n = 0
-                while (x + n < len(doc) and y + n < len(item) and doc[x + n] == item[y + n]
-                       and x + n not in used_d and y + n not in used_i):
-                    n += 1
-                best = max(best, (n, x, y))
-        if best[0] < max(1, size):
-            return sum(n for n, _, _ in out)
+        run = [0] * (len(doc) + 1)
+        for y in reversed(range(len(item))):
+            run = [run[x + 1] + 1 if doc[x] is not None and doc[x] == item[y] else 0
+                   for x in range(len(doc))] + [0]
+            n = max(run)
+            if n >= best[0]:
+                best = (n, run.index(n), y)
         n, x, y = best
-        out.append(best)
-        used_d |= set(range(x, x + n))
-        used_i |= set(range(y, y + n))
+        if n < size:
+            return out
+        out.append((x, y, n))
+        doc[x:x + n] = item[y:y + n] = [None] * n
 
 
-def test_tiles_cover_as_much_as_the_plain_method():
+def test_tiles_equal_the_plain_method():
     r = random.Random(2)
-    for _ in range(150):
-        doc = np.array(r.choices(range(4), k=r.randrange(0, 25)), dtype=np.uint64)
-        item = np.array(r.choices(range(4), k=r.randrange(1, 18)), dtype=np.uint64)
-        found = leaks.tiles(doc, item, 3)
-        for x, y, n in found:
-            assert (doc[x:x + n] == item[y:y + n]).all()
-        for side in (0, 1):
-            marked = [p for t in found for p in range(t[side], t[side] + t[2])]
-            assert len(marked) == len(set(marked))
-        # ties between equally long tiles may be broken differently
-        assert abs(sum(n for *_, n in found) - plain_tiles(doc, item, 3)) <= 3
+    for _ in range(400):
+        k, least = r.choice([1, 2, 3, 4, 9]), r.choice([1, 2, 3, 5])
+        doc = np.array(r.choices(range(k), k=r.randrange(0, 60)), dtype=np.uint64)
+        item = np.array(r.choices(range(k), k=r.randrange(0, 30)), dtype=np.uint64)
+        if r.random() < .5 and len(item):
+            doc = np.concatenate([doc, item[len(item) // 3:], doc[:7], item[:len(item) // 2]])
+        assert leaks.tiles(doc, item, least) == plain_tiles(doc.tolist(), item.tolist(), least)
+
+
+def test_tiles_of_long_repeated_texts():
+    """A million equal tokens against 400: memory by tokens, not by pairs of places."""
+    doc = np.full(1_000_000, 7, np.uint64)
+    doc[123_456] = 8
+    tracemalloc.start()
+    found = leaks.tiles(doc, np.r_[np.full(399, 7), 8].astype(np.uint64), 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(123_057, 0, 400)] and peak < 200 << 20
+    assert leaks.tiles(doc, doc[:400], 5) == [(0, 0, 400)]
+
+
+def test_leaks_equal_all_pairs(spark, small_docs):
+    """All documents and items against the plain method; a pair without a common run of five
+    words cannot hold half of an item, shorter items aside."""
+    bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    words_of = lambda t: re.findall(r"\w+", (t or "").lower())
+    docs = {d.doc_id: words_of(d.text) for d in small_docs.collect()}
+    runs = {i: {tuple(d[p:p + 5]) for p in range(len(d) - 4)} for i, d in docs.items()}
+    want = set()
+    for row in bench.collect():
+        t = words_of(row.text)
+        assert len(t) >= 5
+        own = {tuple(t[p:p + 5]) for p in range(len(t) - 4)}
+        for i, d in docs.items():
+            if own & runs[i]:
+                found = plain_tiles(d, t, 5)
+                covered = sum(n for _, _, n in found)
+                if 100 * covered >= 50 * len(t):
+                    want.add((i, row.item_id, len(found), covered, len(t)))
+    got = leaks.leaks(small_docs, bench).collect()
+    assert want and {tuple(r)[:5] for r in got} == want and len(got) == len(want)
+
+
+def test_leaks_of_repeated_and_null_items(spark, frame):
+    r = random.Random(5)
+    a, b = (" ".join(f"t{r.randrange(5000)}" for _ in range(30)) for _ in range(2))
+    bench = spark.createDataFrame([(1, a), (1, b), (None, a), (1, a), (2, "t1 " * 400)],
+                                  "item_id long, text string")
+    docs = frame([(5, a), (6, b), (None, a), (7, "T1 " * 50_000), (8, "t1 " * 199)])
+    got = leaks.leaks(docs, bench).collect()
+    assert sorted(((r.doc_id, r.item_id, r.covered_tokens) for r in got), key=repr) == sorted(
+        [(5, 1, 30), (5, None, 30), (6, 1, 30), (None, 1, 30), (None, None, 30), (7, 2, 400)],
+        key=repr)
+    assert leaks.leaks(docs.where("doc_id = 8"), bench, percent=49).first().covered_tokens == 199
 
 
 def test_leaks(spark, frame):
