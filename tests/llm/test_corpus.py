@@ -18,28 +18,36 @@ PROSE = " ".join(f"word{i} of the" for i in range(30))
 
 # ------------------------------------------------------------- language model
 
-def test_scores_equal_plain_counts(frame, small_docs, monkeypatch):
+@pytest.mark.parametrize("order", [1, 2, 3, 5])
+def test_scores_equal_plain_counts(frame, small_docs, monkeypatch, order):
     monkeypatch.setattr(exchange.blocks, "__defaults__", (100_000,))
     texts = [r.text for r in small_docs.collect()] + [None, "", " ", "One", "one  ONE\tone", "é É"]
     pairs = list(enumerate(texts)) + [(None, "one one"), (3, texts[3])]
     tokens = [(t or "").encode().lower().split() for _, t in pairs]
-    one = Counter(w for t in tokens for w in t)
-    two = Counter(g for t in tokens for g in zip(t, t[1:]))
-    total = sum(one.values())
-    got = lm.score(frame(pairs), min_count=2, backoff=0.4).collect()
+    counts = Counter(tuple(t[i:i + k]) for t in tokens for k in range(1, order + 1)
+                     for i in range(len(t) - k + 1))
+    total = sum(map(len, tokens))
+
+    def plain(gram):
+        """Log score of the last word after the others, and the steps back."""
+        if len(gram) == 1:
+            return math.log(counts[gram] / total), 0
+        if counts[gram] >= 2:
+            return math.log(counts[gram] / counts[gram[:-1]]), 0
+        score, steps = plain(gram[1:])
+        return math.log(0.4) + score, steps + 1
+
+    got = lm.score(frame(pairs), min_count=2, backoff=0.4, order=order).collect()
     assert len(got) == len(pairs)
     for r in got:
         if r.doc_id is None:
             continue
         t = tokens[r.doc_id]
-        logs = [math.log(one[w] / total) for w in t[:1]]
-        for v, w in zip(t, t[1:]):
-            n = two[v, w]
-            logs.append(math.log(n / one[v]) if n >= 2 else math.log(0.4 * one[w] / total))
-        assert (r.n_tokens, r.n_backoff) == (len(t), sum(two[g] < 2 for g in zip(t, t[1:])))
-        assert r.log_score == pytest.approx(sum(logs), abs=1e-6)
+        found = [plain(tuple(t[max(0, i + 1 - order):i + 1])) for i in range(len(t))]
+        assert (r.n_tokens, r.n_backoff) == (len(t), sum(n for _, n in found))
+        assert r.log_score == pytest.approx(sum(s for s, _ in found), abs=1e-6)
         assert (r.mean_log_score is None) == (not t)
-    assert lm.score(frame([])).count() == 0
+    assert lm.score(frame([]), order=order).count() == 0
 
 
 # ------------------------------------------------------------- benchmark leaks

@@ -1,7 +1,7 @@
-"""Stupid-backoff scores of documents under a bigram model of the whole corpus.
+"""Stupid-backoff scores of documents under an n-gram model of the whole corpus.
 
 N-gram counts are tables partitioned by a hash of the n-gram. A block of documents explodes
-into its distinct unigrams and bigrams with their counts, these meet the partitions they
+into its distinct n-grams of each order with their counts, these meet the partitions they
 belong to, where counts add up over all blocks, and the totals come back to the block, which
 sums the log scores of each document.
 """
@@ -21,22 +21,32 @@ _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 class Grams:
-    """Unigrams and bigrams of a block: distinct keys, and which key each position has."""
+    """N-grams of a block up to ``order`` words: distinct keys, and for each order which key
+    the n-gram that ends at a position has."""
 
-    def __init__(self, table: pa.Table):
+    def __init__(self, table: pa.Table, order: int):
         self.block = table["block"][0].as_py() if table.num_rows else 0
         texts = [t.encode().lower().split() for t in table["text"].to_pylist()]
         self.sizes = np.array([len(t) for t in texts], dtype=np.int64)
         one = np.fromiter((xxhash.xxh3_64_intdigest(w) for t in texts for w in t), np.uint64,
                           int(self.sizes.sum()))
         self.doc = np.repeat(np.arange(len(texts)), self.sizes)
-        self.second = np.flatnonzero(self.doc[1:] == self.doc[:-1]) + 1
-        two = one[self.second - 1] * _C1 + one[self.second] * _C2
-        two ^= two >> np.uint64(31)
-        # the lowest bit tells the orders apart
-        keys = np.concatenate([one << np.uint64(1), two << np.uint64(1) | np.uint64(1)])
-        self.keys, place, self.counts = np.unique(keys, return_inverse=True, return_counts=True)
-        self.one, self.two = place[:len(one)], place[len(one):]
+        place = np.arange(len(one)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+        #: positions that end an n-gram of each order
+        self.ends = [np.flatnonzero(place >= k) for k in range(order)]
+        hashes, before = [one], one
+        for at in self.ends[1:]:
+            # ``before`` has a hash for each position, of the n-gram one word shorter
+            longer = before[at - 1] * _C1 + one[at] * _C2
+            longer ^= longer >> np.uint64(31)
+            hashes.append(longer)
+            before = np.zeros_like(one)
+            before[at] = longer
+        # the lowest bits tell the orders apart
+        tag = max(1, (order - 1).bit_length())
+        keys = np.concatenate([h << np.uint64(tag) | np.uint64(k) for k, h in enumerate(hashes)])
+        self.keys, found, self.counts = np.unique(keys, return_inverse=True, return_counts=True)
+        self.keyed = np.split(found, np.cumsum([len(h) for h in hashes])[:-1])
 
 
 def _sums(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -45,38 +55,47 @@ def _sums(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def score(docs: DataFrame, min_count: int = 2, backoff: float = 0.4, key: str = "doc_id",
-          text: str = "text") -> DataFrame:
+          text: str = "text", order: int = 2) -> DataFrame:
     """``key, n_tokens, n_backoff, log_score, mean_log_score`` for each row of ``docs``.
 
-    Words are split at ASCII white space, A-Z in lower case. A word after word v scores
-    c(v w) / c(v) if the bigram comes ``min_count`` times or more in the corpus, else
-    ``backoff`` * c(w) / N; the first word scores c(w) / N. Scores are natural logarithms.
-    Documents without words have 0 tokens, log_score 0 and a null mean. Repeated rows count
-    as often as they come; null keys stay. N-grams are compared by 63-bit hashes.
+    Words are split at ASCII white space, A-Z in lower case. A word w after the words v scores
+    c(v w) / c(v) if the n-gram v w comes ``min_count`` times or more in the corpus, else
+    ``backoff`` times its score after v without the first word; after no word it scores
+    c(w) / N. ``order`` is the length of the longest n-grams; ``n_backoff`` counts the steps
+    back. Scores are natural logarithms. Documents without words (null, empty) have 0 tokens,
+    log_score 0 and a null mean; an empty table gives no rows. Repeated rows count as often as
+    they come; null keys stay. A very long text is a block of its own. Columns other than key
+    and text are ignored. N-grams are compared by hashes of 63 bits (62 from order 3 on).
     """
+    if order < 1:
+        raise ValueError("order must be 1 or more")
     rows, n = exchange.blocks(docs, key, text)
     total = docs.agg(F.sum(F.size(words(F.col(text))))).first()[0] or 1
     id_type = docs.schema[key].dataType.simpleString()
 
     def ask(table: pa.Table) -> pa.Table:
-        grams = Grams(table)
+        grams = Grams(table, order)
         return exchange.asked(grams.block, grams.keys, grams.counts.astype(np.uint32), n)
 
     def total_of(table: pa.Table, replies: pa.Table) -> pa.Table:
-        grams = Grams(table)
+        grams = Grams(table, order)
         count = exchange.answers(replies, grams.keys, n, np.int64)
-        one, two = count[grams.one].astype(float), count[grams.two]
-        logs = np.log(one / total)
-        seen = two >= min_count
-        logs[grams.second] = np.where(seen, np.log(two / one[grams.second - 1]),
-                                      np.log(backoff) + logs[grams.second])
         docs_n = len(grams.sizes)
+        shorter = count[grams.keyed[0]].astype(float)
+        logs, unseen = np.log(shorter / total), np.zeros(docs_n, np.int64)
+        for at, keyed in zip(grams.ends[1:], grams.keyed[1:]):
+            found = count[keyed].astype(float)
+            seen = found >= min_count
+            logs[at] = np.where(seen, np.log(found / shorter[at - 1]),
+                                np.log(backoff) + logs[at])
+            unseen += np.bincount(grams.doc[at[~seen]], minlength=docs_n)
+            shorter = np.zeros_like(logs)
+            shorter[at] = found
         sums = np.bincount(grams.doc, weights=logs, minlength=docs_n)
-        unseen = np.bincount(grams.doc[grams.second[~seen]], minlength=docs_n)
         mean = np.divide(sums, grams.sizes, out=np.zeros(docs_n), where=grams.sizes > 0)
         return pa.table({
             "id": table["id"], "n_tokens": pa.array(grams.sizes),
-            "n_backoff": pa.array(unseen.astype(np.int64)), "log_score": pa.array(sums),
+            "n_backoff": pa.array(unseen), "log_score": pa.array(sums),
             "mean_log_score": pa.array(mean, mask=grams.sizes == 0)})
 
     by_block = rows.groupBy("block")
