@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemart.operators.clean import clean
 from tidemart.operators.skew import hot_slots
 from tidemart.plans import gold
+from tidemart.plans.refresh import kept
+from tidemart.session import scratch_dir
 from tidemart.specs import ALL_SPECS, Collapse
 
 RAW = {
@@ -174,6 +176,12 @@ class Retail:
             self.silver("orders"), self.silver("order_items"), self.silver("order_payments"),
             self.silver("order_reviews"), hot_slots(self.raw("order_items"), ["order_id"]))
 
+    def with_stored_fact(self) -> Retail:
+        """The same tables with the fact written once and read back, for several results."""
+        stored = Retail(self.spark, self.sf_dir)
+        stored.fact = kept(self.fact, scratch_dir(self.spark, "fact"))
+        return stored
+
     @property
     def customers(self) -> DataFrame:
         return self.silver("customers")
