@@ -51,3 +51,13 @@ def test_published_tables_make_the_fact_once(small_retail):
         assert "l_orderkey" not in plan and plan.count("FileScan") == 1
     assert rows(frames["fact_order_items"]) == rows(small_retail.fact)
     assert rows(frames["customer_metrics"]) == rows(small_retail.customer_metrics)
+
+
+def test_buckets_grow_with_the_rows(small_retail, monkeypatch):
+    from tidemart.sources import tables
+    from tidemart.testbed.registry import live_lake
+    assert [tables.buckets_for(n) for n in (0, 4_000_000, 36_000_001)] == [4, 4, 37]
+    assert small_retail.buckets() == 4 and small_retail.buckets(8) == 8
+    monkeypatch.setattr(tables, "ROWS_PER_BUCKET", 5)
+    assert small_retail.buckets() == 12
+    assert live_lake(small_retail, "live")[0].buckets == 12
