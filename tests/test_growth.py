@@ -61,3 +61,35 @@ def test_buckets_grow_with_the_rows(small_retail, monkeypatch):
     monkeypatch.setattr(tables, "ROWS_PER_BUCKET", 5)
     assert small_retail.buckets() == 12
     assert live_lake(small_retail, "live")[0].buckets == 12
+
+
+@pytest.mark.parametrize("version", [None, "at"])
+def test_an_upsert_deals_its_rows_once(spark, lake_dir, monkeypatch, version):
+    """Keys repeat in the table, are missing on both sides, and versions may be older or none."""
+    from tidemart.operators.upsert import merge_by_key
+    from tidemart.sources import tables
+    t = tables.StoredTable(spark, f"{tables.database_at(spark, lake_dir)}.t", f"{lake_dir}/t",
+                           keys=["k", "n"], buckets=4)
+    t.overwrite(spark.createDataFrame(
+        [(1, 1, 5, "a"), (1, 1, 6, "a"), (1, 2, 5, "a"), (2, 1, None, "a"), (3, 1, 9, "a"),
+         (None, 1, 5, "a"), (4, 1, 5, "a")], "k int, n int, at int, v string"))
+    feed = spark.createDataFrame(
+        [(1, 1, 7, "b", 1), (1, 2, 4, "b", 1), (2, 1, 1, "b", 1), (3, 1, None, "b", 1),
+         (None, 1, 6, "b", 1), (9, None, 6, "b", 1), (8, 1, 6, "b", 1)],
+        "k int, n int, at int, v string, more int")
+    want = rows(merge_by_key(t.read(), feed, ["k", "n"], version))
+    plans, insert = [], tables.StoredTable._insert
+
+    def watched(self, name, frame, *rest):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return insert(self, name, frame, *rest)
+
+    monkeypatch.setattr(tables.StoredTable, "_insert", watched)
+    t.upsert(feed, version)
+    assert rows(t.read()) == want
+    assert "hashpartitioning(k" in plans[0] and ", n#" not in "".join(
+        line for line in plans[0].splitlines() if "hashpartitioning" in line)
+    # a bucket that is too large for a task is still split by adaptive execution
+    monkeypatch.setattr(tables, "ROWS_PER_BUCKET", 0)
+    t.upsert(feed.where("k IS NOT NULL AND n IS NOT NULL"), version)
+    assert "Join" in plans[1] and rows(t.read()) == want
