@@ -75,6 +75,32 @@ def test_stops_after_every_letter(reference):
         assert np.frombuffer(found, "<u4").tolist() == right, text
 
 
+def test_the_library_sees_each_word_once(reference, monkeypatch):
+    """Case of plain letters and marks after a word make no new words for the library."""
+    plain = [f"{a}{b}{c}" for a in ("été", "of", "über") for b in ("ba", "né", "çø") for c in "xyz"]
+    marks = ["", ".", "%%%", "?!", "'", ".'", "<|", "|>,"]
+    texts = [" ".join(form(w) + m for w in plain for m in marks)
+             for form in (str.lower, str.upper, str.title)]
+    encoder, asked = packing.Ids(vocabulary("word_bpe_49k.json")), []
+    library = encoder._encode
+    monkeypatch.setattr(encoder, "_encode",
+                        lambda words: asked.extend(" ".join(words).split()) or library(words))
+    found = encoder.encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == want(
+        reference["word_bpe_49k.json"], texts)
+    assert len(asked) <= len(plain) + len(marks)
+
+
+def test_ids_when_the_memory_of_words_is_full(reference, small_docs, monkeypatch):
+    monkeypatch.setattr(packing, "_KEPT", 40)
+    texts = [t or "" for t in EDGES] + [r.text for r in small_docs.limit(40).collect()]
+    encoder = packing.Ids(vocabulary("word_bpe_49k.json"))
+    for part in ([], texts, texts[:3], texts[::-1], ["", ""]):
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(part)] == want(
+            reference["word_bpe_49k.json"], part)
+        assert len(encoder.known) <= 40
+
+
 def test_empty_tables(frame):
     assert tokens.token_counts(frame([]), vocabulary("byte_bpe_50k.json")).count() == 0
     assert packing.pack(frame([]), vocabulary("word_bpe_49k.json")).count() == 0

@@ -10,12 +10,11 @@ pieces of their length, and the rank names the pattern, the sequence and the off
 from __future__ import annotations
 
 import os
-import unicodedata
+import string
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
 from functools import cache
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +26,16 @@ from pyspark.sql import types as T
 
 from tidemart.llm.common import slices, stored
 
-#: Words remembered between batches, and the longest of them.
-_KEPT, _LONGEST = 300_000, 64
+#: Parts of words remembered between batches, and the longest of them.
+_KEPT, _LONGEST = 800_000, 64
 #: Words in one call of the tokenizer.
 _AT_ONCE = 500
+#: Text bytes encoded at a time.
+_BATCH = 8 << 20
+#: Letters that are one code point in NFC and in lower case, and ASCII marks: no token crosses
+#: the border between the two. Fixed values.
+_LETTERS = "".join(c for c in map(chr, range(0x100)) if c.isalpha() and c not in "\xaa\xb5\xba")
+_MARKS = string.punctuation
 #: Pieces of one length are ranked in groups of about this many.
 _GROUP = 250_000
 
@@ -51,8 +56,6 @@ class Ids:
         self.is_end = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>")
                                 for i in range(size)])
         self.known: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
-        self.apart: dict[str, bool] = {}
         for probe in ("a b", "A\nb,"):
             if self._encode([probe]) != self.encode([probe]):
                 raise ValueError(f"{path}: not a vocabulary of lower-case words")
@@ -76,46 +79,47 @@ class Ids:
                 out += self._encode(part)
         return out
 
-    def _ends_apart(self, letter: str) -> bool:
-        """Whether a full stop after this letter is a token of its own. It is not after letters
-        that are taken apart into a letter and a mark, as the mark joins the stop."""
-        if letter not in self.apart:
-            both, alone, stop = self._encode([letter + ".", letter, "."])
-            last = unicodedata.normalize("NFC", letter).lower()[-1]
-            self.apart[letter] = both == alone + stop and last.isalpha()
-        return self.apart[letter]
-
-    def _stem(self, word: str) -> tuple[str, str]:
-        """A word in lower case and the full stop or comma after its last letter, where the
-        two are never in one token; the vocabulary is in lower case."""
-        end = ""
-        if word[-1:] in (".", ",") and word[-2:-1].isalpha() and self._ends_apart(word[-2]):
-            word, end = word[:-1], word[-1]
-        return (word.lower() if word.isascii() and "<|" not in word else word), end
-
-    def _learn(self, new: list[str]) -> None:
-        stems, ends = zip(*map(self._stem, new)) if new else ((), ())
-        missing = set(stems).union(ends).difference(self.stems)
-        letters = [s for s in missing if s.isalpha()]
-        rest = [s for s in missing if not s.isalpha()]
-        self.stems.update(zip(letters, self._encode_letters(letters)))
-        self.stems.update(zip(rest, self._encode(rest)))
-        get = self.stems.__getitem__
-        self.known.update(zip(new, map(add, map(get, stems), map(get, ends))))
-        if len(self.stems) > 2 * _KEPT:
-            self.stems.clear()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*words).difference(self.known))
-        self._learn(new)
-        ids = [b"".join(map(self.known.__getitem__, ws)) for ws in words]
+    def _known(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts of words; those seen before come from memory."""
+        new = [p for p in parts if p not in self.known]
+        letters = [p for p in new if p.isalpha()]
+        rest = [p for p in new if not p.isalpha()]
+        self.known.update(zip(letters, self._encode_letters(letters)))
+        self.known.update(zip(rest, self._encode(rest)))
+        found = [self.known[p] for p in parts]
         if len(self.known) > _KEPT:
-            self.known.clear()
-        for word in new:
-            if len(word) > _LONGEST:
-                self.known.pop(word, None)
-        return ids
+            self.known = dict(zip(parts, found)) if len(parts) <= _KEPT else {}
+        for part in new:
+            if len(part) > _LONGEST:
+                self.known.pop(part, None)
+        return found
+
+    def _words(self, words: pa.Array) -> pa.Array:
+        """Ids of distinct words. A word of plain letters and marks after them is looked up as
+        letters in lower case and as marks."""
+        stem = pc.utf8_rtrim(words, characters=_MARKS)
+        end = pc.utf8_ltrim(words, characters=_LETTERS)
+        plain = pc.equal(pc.add(pc.binary_length(stem), pc.binary_length(end)),
+                         pc.binary_length(words))
+        parts = pa.concat_arrays([
+            pc.if_else(plain, pc.utf8_lower(stem), words),
+            pc.if_else(plain, end, pa.scalar("", words.type))]).dictionary_encode()
+        ids = pa.array(self._known(parts.dictionary.to_pylist()), pa.large_binary())
+        return pc.binary_join_element_wise(
+            ids.take(parts.indices[:len(words)]), ids.take(parts.indices[len(words):]),
+            pa.scalar(b"", pa.large_binary()))
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids of each text; an Arrow array must be without nulls."""
+        column = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts
+        words = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
+        flat = words.flatten().dictionary_encode()
+        ids, index = self._words(flat.dictionary), flat.indices
+        sizes = pc.binary_length(ids).to_numpy()[index.to_numpy()]
+        ends = np.cumsum(pc.list_value_length(words).to_numpy())
+        at = np.r_[0, np.cumsum(sizes)][np.r_[0, ends]].tolist()
+        data = memoryview(ids.take(index).buffers()[2] or b"")
+        return [data[a:b].tobytes() for a, b in zip(at, at[1:])]
 
 
 @cache
@@ -132,8 +136,8 @@ def pieces(docs: DataFrame, path: str, size: int, end_id: int, key: str, text: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, seen = ids(path), 0
-        for batch in slices(batches, 1, 2 << 20):
-            texts = pc.fill_null(batch.column(1), "").to_pylist()
+        for batch in slices(batches, 1, _BATCH):
+            texts = pc.fill_null(batch.column(1), "").cast(pa.large_string())
             out = [(row, at // 4, len(cut) // 4, zlib.crc32(cut), len(data) // 4, seen + row)
                    for row, data in enumerate(x + end for x in encoder.encode(texts))
                    for at in range(0, len(data), 4 * size)
