@@ -7,6 +7,7 @@ import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_fixtures import frame, small_docs  # noqa: F401
@@ -50,6 +51,36 @@ def test_scores_equal_plain_counts(frame, small_docs, monkeypatch, order):
     assert lm.score(frame([]), order=order).count() == 0
 
 
+def test_a_block_hashes_each_word_once_and_asks_in_one_order(monkeypatch):
+    """Rows of a block come in another order each time it is read."""
+    texts = ["One one\ttwo", "", " two\x0bTWO three ", "\x1cÉ é", "one two three", "x" * 70]
+    hashed, plain = [], lm.xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(lm.xxhash, "xxh3_64_intdigest", lambda w: hashed.append(w) or plain(w))
+
+    def grams(rows):
+        return lm.Grams(pa.table({"block": pa.array([7] * len(rows), pa.int64()),
+                                  "text": pa.array(rows, pa.string())}), 3)
+    one, other = grams(texts), grams(texts[::-1])
+    tokens = [t.encode().lower().split() for t in texts]
+    assert len(hashed) == 2 * len(set().union(*tokens))
+    assert one.sizes.tolist() == other.sizes.tolist()[::-1] == [len(t) for t in tokens]
+    assert one.keys.tolist() == other.keys.tolist()
+    assert one.counts.tolist() == other.counts.tolist()
+    for k, (at, keyed) in enumerate(zip(one.ends, one.keyed)):
+        words = [w for t in tokens for w in t]
+        want = Counter(tuple(words[i - k:i + 1]) for i in at)
+        got = {tuple(words[i - k:i + 1]): int(one.counts[x]) for i, x in zip(at, keyed)}
+        assert got == want
+    assert len(grams([]).keys) == 0
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 1 << 16, (1 << 16) + 1])
+def test_keys_are_asked_by_bucket(buckets):
+    keys = np.random.default_rng(1).integers(0, 1 << 63, 5000).astype(np.uint64)
+    order = exchange.order_of(keys, buckets)
+    assert order.tolist() == sorted(range(len(keys)), key=lambda i: int(keys[i]) % buckets)
+
+
 # ------------------------------------------------------------- benchmark leaks
 
 def plain_tiles(doc, item, least):

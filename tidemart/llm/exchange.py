@@ -40,7 +40,9 @@ def blocks(docs: DataFrame, key: str, text: str, size: int = BLOCK_BYTES, *,
 
 def order_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     """The order in which a block's distinct keys are asked: by bucket."""
-    return np.argsort(keys % np.uint64(buckets), kind="stable")
+    bucket = keys % np.uint64(buckets)
+    # numpy sorts 16 bits by radix
+    return np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
 
 
 def _packed(keys: np.ndarray, width: int) -> bytes:

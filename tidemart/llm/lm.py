@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,27 +27,41 @@ class Grams:
 
     def __init__(self, table: pa.Table, order: int):
         self.block = table["block"][0].as_py() if table.num_rows else 0
-        texts = [t.encode().lower().split() for t in table["text"].to_pylist()]
-        self.sizes = np.array([len(t) for t in texts], dtype=np.int64)
-        one = np.fromiter((xxhash.xxh3_64_intdigest(w) for t in texts for w in t), np.uint64,
-                          int(self.sizes.sum()))
-        self.doc = np.repeat(np.arange(len(texts)), self.sizes)
+        words = pc.ascii_split_whitespace(pc.ascii_lower(table["text"])).combine_chunks()
+        flat = words.flatten()
+        real = pc.not_equal(flat, "")
+        ends = np.cumsum(pc.list_value_length(words).to_numpy())
+        before = np.r_[0, np.cumsum(real.to_numpy(zero_copy_only=False))]
+        self.sizes = np.diff(before[np.r_[0, ends]]).astype(np.int64)
+        # each distinct word is hashed once
+        coded = flat.filter(real).dictionary_encode()
+        distinct = np.fromiter(map(xxhash.xxh3_64_intdigest, coded.dictionary.to_pylist()),
+                               np.uint64, len(coded.dictionary))
+        word = coded.indices.to_numpy()
+        one = distinct[word]
+        self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
         place = np.arange(len(one)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
         #: positions that end an n-gram of each order
         self.ends = [np.flatnonzero(place >= k) for k in range(order)]
-        hashes, before = [one], one
-        for at in self.ends[1:]:
-            # ``before`` has a hash for each position, of the n-gram one word shorter
-            longer = before[at - 1] * _C1 + one[at] * _C2
-            longer ^= longer >> np.uint64(31)
-            hashes.append(longer)
-            before = np.zeros_like(one)
-            before[at] = longer
         # the lowest bits tell the orders apart
-        tag = max(1, (order - 1).bit_length())
-        keys = np.concatenate([h << np.uint64(tag) | np.uint64(k) for k, h in enumerate(hashes)])
-        self.keys, found, self.counts = np.unique(keys, return_inverse=True, return_counts=True)
-        self.keyed = np.split(found, np.cumsum([len(h) for h in hashes])[:-1])
+        tag = np.uint64(max(1, (order - 1).bit_length()))
+        keys, found = np.unique(distinct << tag, return_inverse=True)
+        self.keyed = [found[word]]
+        parts, counts = [keys], [np.bincount(self.keyed[0], minlength=len(keys))]
+        # ``shorter`` has a hash for each position, of the n-gram one word shorter
+        shorter = one
+        for k, at in enumerate(self.ends[1:], 1):
+            longer = shorter[at - 1] * _C1 + one[at] * _C2
+            longer ^= longer >> np.uint64(31)
+            keys, found, n = np.unique(longer << tag | np.uint64(k), return_inverse=True,
+                                       return_counts=True)
+            self.keyed.append(found + sum(map(len, parts)))
+            parts.append(keys)
+            counts.append(n)
+            shorter = np.zeros_like(one)
+            shorter[at] = longer
+        #: sorted within each order: rows of a block come in another order each time
+        self.keys, self.counts = np.concatenate(parts), np.concatenate(counts)
 
 
 def _sums(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
