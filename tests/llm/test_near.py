@@ -94,3 +94,21 @@ def test_an_id_with_many_texts_does_not_mix_them_up(frame):
     got = near_groups(frame([(1, long), (2, short), (2, other), (3, short + " end")]),
                       Near(words=1, percent=85)).collect()
     assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (2, 2), (2, 2), (3, 2)]
+
+
+def test_tables_that_grow_with_the_documents_are_not_broadcast(spark):
+    """Spark takes an exploded or array column for a few bytes, whatever it holds."""
+    from pyspark.sql import functions as F
+
+    from tidemart.llm import near as n
+    classes = spark.range(40).selectExpr(
+        "id", "32L AS n", "transform(sequence(0, 31), x -> cast(x + id % 9 AS bigint)) AS sketch")
+    sets = classes.select("id", F.col("sketch").alias("shingles"))
+    pairs = spark.range(39).selectExpr("id AS a", "id + 1 AS b", "32L AS n_a", "32L AS n_b")
+    lists = spark.range(40).selectExpr("id % 5 AS value", "id", "32L AS n", "1 AS at",
+                                       "id AS component")
+    for made in (n._lists(classes, Near()), n._whole_lists(sets, Near()),
+                 n._estimated(pairs, classes, Near()), n._confirmed(pairs, sets, Near()),
+                 n._across(lists, lists.where("true"), Near())):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan

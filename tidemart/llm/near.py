@@ -102,6 +102,13 @@ def _sets(docs: DataFrame, near: Near) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def _large(frame: DataFrame) -> DataFrame:
+    """A side of a join that grows with the documents and is never broadcast: Spark sizes what
+    comes out of an explode, or holds arrays, as if an array had one value, and a file by its
+    compressed bytes, so it would send millions of rows through the driver."""
+    return frame.hint("merge")
+
+
 def _similar(shared: Column, a: Column, b: Column, near: Near) -> Column:
     return 100 * shared >= near.percent * (a + b - shared)
 
@@ -111,7 +118,7 @@ def _lists(classes: DataFrame, near: Near) -> DataFrame:
     values = classes.select("id", "n", F.size("sketch").alias("size"),
                             F.explode("sketch").alias("value"))
     counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = values.join(counts, "value").groupBy("id", "n", "size").agg(
+    shared = _large(values).join(counts, "value").groupBy("id", "n", "size").agg(
         F.sort_array(F.collect_list(F.struct("df", "value"))).alias("rare_first"))
     need = F.least(F.lit(near.need), F.ceil(F.col("n") * near.percent / 100).cast("int"))
     # values in no other sketch are the rarest of all, and need no list
@@ -128,8 +135,8 @@ def _close_sizes(near: Near) -> Column:
 def _estimated(pairs: DataFrame, classes: DataFrame, near: Near) -> DataFrame:
     """Pairs ``a, b, n_a, n_b`` whose union sketch shares enough."""
     side = classes.select("id", "sketch")
-    with_a = pairs.join(side.select(F.col("id").alias("a"), F.col("sketch").alias("s")), "a")
-    both = with_a.join(side.select(F.col("id").alias("b"), F.col("sketch").alias("t")), "b")
+    with_a = pairs.join(_large(side.select(F.col("id").alias("a"), F.col("sketch").alias("s"))), "a")
+    both = with_a.join(_large(side.select(F.col("id").alias("b"), F.col("sketch").alias("t"))), "b")
     union = F.slice(F.sort_array(F.array_union("s", "t")), 1, near.k)
     sizes = both.withColumn("union", union).withColumn("shared", F.size(
         F.array_intersect("union", F.array_intersect("s", "t"))))
@@ -142,8 +149,9 @@ def _estimated(pairs: DataFrame, classes: DataFrame, near: Near) -> DataFrame:
 def _confirmed(pairs: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
     """``a, b`` of the pairs that are similar on their whole sets."""
     side = sets.select("id", "shingles")
-    both = pairs.join(side.select(F.col("id").alias("a"), F.col("shingles").alias("s")), "a"
-                      ).join(side.select(F.col("id").alias("b"), F.col("shingles").alias("t")), "b")
+    both = pairs.join(
+        _large(side.select(F.col("id").alias("a"), F.col("shingles").alias("s"))), "a").join(
+        _large(side.select(F.col("id").alias("b"), F.col("shingles").alias("t"))), "b")
     shared = F.size(F.array_intersect("s", "t"))
     return both.where(_similar(shared, F.col("n_a"), F.col("n_b"), near)).select("a", "b")
 
@@ -167,7 +175,7 @@ def _whole_lists(sets: DataFrame, near: Near) -> DataFrame:
     values = sets.dropDuplicates(["id"]).select(
         "id", F.size("shingles").alias("n"), F.explode("shingles").alias("value"))
     counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = values.join(counts, "value").groupBy("id", "n").agg(
+    shared = _large(values).join(counts, "value").groupBy("id", "n").agg(
         F.sort_array(F.collect_list(F.struct("df", "value"))).alias("rare_first"))
     own = F.col("n") - F.size("rare_first")
     listed = F.col("n") - F.ceil(F.col("n") * near.percent / 100).cast("int") + 1 - own
@@ -191,7 +199,7 @@ def _across(left: DataFrame, right: DataFrame, near: Near) -> DataFrame:
     a = left.select("value", *(F.col(c).alias(f"{c}_a") for c in ("id", "n", "at", "component")))
     b = right.select("value", *(F.col(c).alias(f"{c}_b") for c in ("id", "n", "at", "component")))
     most = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
-    met = a.join(b, "value").where("component_a <> component_b").where(
+    met = a.join(_large(b), "value").where("component_a <> component_b").where(
         _similar(most, F.col("n_a"), F.col("n_b"), near))
     first = F.col("id_a") < F.col("id_b")
     return met.select(*(F.when(first, F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (
@@ -224,7 +232,7 @@ def _linked_texts(docs: DataFrame, near: Near, key: str, text: str
 
     lists = stored(_lists(classes, near), "lists")
     pivots = lists.groupBy("value").agg(F.min(F.struct("id", "n")).alias("p"))
-    stars = lists.join(pivots, "value").select(
+    stars = _large(lists).join(pivots, "value").select(
         F.col("p.id").alias("a"), F.col("id").alias("b"), F.col("p.n").alias("n_a"),
         F.col("n").alias("n_b")).where("a < b").where(_close_sizes(near)).distinct()
     pairs = stored(_estimated(stars, classes, near), "pairs")
