@@ -93,3 +93,52 @@ def test_an_upsert_deals_its_rows_once(spark, lake_dir, monkeypatch, version):
     monkeypatch.setattr(tables, "ROWS_PER_BUCKET", 0)
     t.upsert(feed.where("k IS NOT NULL AND n IS NOT NULL"), version)
     assert "Join" in plans[1] and rows(t.read()) == want
+
+
+@pytest.mark.parametrize("month", [None, "day"])
+def test_an_upsert_leaves_old_rows_in_their_buckets(spark, lake_dir, monkeypatch, month):
+    """Only the feed is shuffled, and its scratch copy is gone afterwards. Names of columns are
+    like those used inside."""
+    from tidemart.operators.upsert import merge_by_key
+    from tidemart.sources import tables
+    from tidemart.sources.paths import exists
+    t = tables.StoredTable(spark, f"{tables.database_at(spark, lake_dir)}.t", f"{lake_dir}/t",
+                           keys=["k", "n"], buckets=3, month=month)
+    made = "id % 50 AS k", "cast(id / 50 AS int) AS n", "id AS new", "id AS _of_new", (
+        "timestamp '2020-01-01' + make_dt_interval(cast(id % 70 AS int)) AS day")
+    t.overwrite(spark.range(200).selectExpr(*made))
+    feed = spark.range(150, 250).selectExpr(*made).withColumn("new", F.lit(-1).cast("long"))
+    want = rows(merge_by_key(t.read(), feed, ["k", "n"]))
+    plans, insert, scratch = [], tables.StoredTable._insert, []
+
+    def watched(self, name, frame, *rest):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return insert(self, name, frame, *rest)
+
+    def folder(spark, label):
+        scratch.append(f"{lake_dir}/{label}")
+        return scratch[-1]
+
+    monkeypatch.setattr(tables.StoredTable, "_insert", watched)
+    monkeypatch.setattr(tables, "scratch_dir", folder)
+    t.upsert(feed, unique=True)
+    dealt = [line for line in plans[0].splitlines() if "Exchange hashpartitioning(k#" in line]
+    assert len(dealt) == 1 and rows(t.read()) == want
+    assert scratch and not exists(spark, scratch[0])
+
+
+def test_a_stage_frees_its_shuffle_files(spark):
+    from types import SimpleNamespace
+
+    from tidemart.session import FREED, frees_shuffles
+
+    @frees_shuffles
+    def stage(lake, fails):
+        assert lake.spark.conf.get(FREED) == "true"
+        return 1 / fails
+
+    before = spark.conf.get(FREED)
+    assert stage(SimpleNamespace(spark=spark), fails=1) == 1
+    with pytest.raises(ZeroDivisionError):
+        stage(SimpleNamespace(spark=spark), fails=0)
+    assert spark.conf.get(FREED) == before
